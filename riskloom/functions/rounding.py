@@ -31,31 +31,52 @@ def _floor_div(a: Column, b: Column) -> Column:
     return ((a - a % b) / b).cast(_DEC)
 
 
-def round_ratio(num: Column | str, den: Column | str, scale: int = 2,
-                mode: str = "half_up") -> Column:
-    """ROUND(num / den, scale) on the exact rational value, as a double.
+def _floor_div_long(a: Column, b: Column) -> Column:
+    """floor(a / b) for 0 <= a < 2^53 and 0 < b < 2^53 (BIGINT).
 
-    ``num`` and ``den`` must be integer valued (counts, sums of BIGINT, or
-    decimal sums pre-scaled to integers).  ``mode`` is ``half_up`` (SQL ROUND:
-    ties away from zero) or ``half_even`` (banker's rounding).
+    ``a - a % b`` is an exact multiple of ``b``; both operands are exactly
+    representable as doubles, so the double quotient is the exact integer.
     """
-    num, den = _col(num), _col(den)
-    p = 10 ** scale
-    an = F.abs(num).cast(_DEC)
-    ad = F.abs(den).cast(_DEC)
-    ad = F.when(ad != 0, ad)  # NULL divisor -> NULL result, never an ANSI error
+    return ((a - a % b).cast("double") / b.cast("double")).cast("long")
+
+
+# Integral inputs below these bounds take the BIGINT path (no intermediate
+# reaches 2^53); anything larger falls back to exact decimal(38,0).
+_LONG_DEN_MAX = 2 ** 51
+
+
+def _rounded_quotient(an, ad, factor: int, mode: str, floor_div):
+    """round(an * factor / ad) for non-negative an, positive ad."""
     if mode == "half_up":
-        q = _floor_div(an * (2 * p) + ad, ad * 2)
-    elif mode == "half_even":
-        t = an * p
-        q0 = _floor_div(t, ad)
+        return floor_div(an * (2 * factor) + ad, ad * 2)
+    if mode == "half_even":
+        t = an * factor
+        q0 = floor_div(t, ad)
         twice_rem = (t - q0 * ad) * 2
-        q = (F.when(twice_rem > ad, q0 + 1)
-             .when((twice_rem == ad) & (q0 % 2 == 1), q0 + 1)
-             .otherwise(q0))
-    else:
-        raise ValueError(f"unknown rounding mode {mode!r}")
-    magnitude = q.cast("double") / p
+        return (F.when(twice_rem > ad, q0 + 1)
+                .when((twice_rem == ad) & (q0 % 2 == 1), q0 + 1)
+                .otherwise(q0))
+    raise ValueError(f"unknown rounding mode {mode!r}")
+
+
+def round_ratio(num: Column | str, den: Column | str, scale: int = 2,
+                mode: str = "half_up", mult: int = 1) -> Column:
+    """ROUND(num * mult / den, scale) on the exact rational value, as a double.
+
+    ``num`` and ``den`` must be integer valued (counts, sums of BIGINT, exact
+    cents).  ``mode`` is ``half_up`` (SQL ROUND: ties away from zero) or
+    ``half_even`` (banker's rounding).  NULL when ``den`` is 0 or NULL.
+    """
+    num, den = _col(num), _col(den)
+    factor = mult * 10 ** scale
+    num_max = 2 ** 53 // (4 * factor)
+    an_l, ad_l = F.abs(num).cast("long"), F.abs(den).cast("long")
+    fast = _rounded_quotient(an_l, F.when(ad_l != 0, ad_l), factor, mode, _floor_div_long)
+    an_d, ad_d = F.abs(num).cast(_DEC), F.abs(den).cast(_DEC)
+    exact = _rounded_quotient(an_d, F.when(ad_d != 0, ad_d), factor, mode, _floor_div)
+    small = (F.abs(num) <= num_max) & (F.abs(den) <= _LONG_DEN_MAX)
+    q = F.when(small, fast.cast("double")).otherwise(exact.cast("double"))
+    magnitude = q / 10 ** scale
     negative = ((num < 0) & (den > 0)) | ((num > 0) & (den < 0))
     return F.when(negative, -magnitude).otherwise(magnitude)
 
@@ -63,7 +84,7 @@ def round_ratio(num: Column | str, den: Column | str, scale: int = 2,
 def pct(num: Column | str, den: Column | str, scale: int = 2,
         mode: str = "half_up") -> Column:
     """ROUND(num * 100 / den, scale) exactly (percentage of two integer columns)."""
-    return round_ratio(_col(num).cast(_DEC) * 100, den, scale, mode)
+    return round_ratio(num, den, scale, mode, mult=100)
 
 
 def avg_round(total: Column | str, count: Column | str, scale: int = 0,
@@ -73,18 +94,20 @@ def avg_round(total: Column | str, count: Column | str, scale: int = 0,
 
 
 def cents(x: Column | str) -> Column:
-    """A money amount as an exact decimal(18,2) (sums become order independent)."""
-    return _col(x).cast("decimal(18,2)")
+    """A money amount as exact integer cents (BIGINT): sums become exact and
+    independent of row order, and stay on the fast BIGINT aggregation path."""
+    return F.round(_col(x) * 100).cast("long")
 
 
-def cents_to_double(x: Column | str) -> Column:
-    return _col(x).cast("double")
+def money(cents_col: Column | str) -> Column:
+    """Exact integer cents back to an amount (double)."""
+    return _col(cents_col).cast("double") / 100
 
 
 def avg_money(sum_cents: Column | str, count: Column | str, scale: int = 2,
               mode: str = "half_up") -> Column:
     """ROUND(AVG(amount), scale) from SUM(cents(amount)) and COUNT(amount)."""
-    return round_ratio(_col(sum_cents).cast("decimal(38,2)") * 100, _col(count) * 100, scale, mode)
+    return round_ratio(sum_cents, _col(count) * 100, scale, mode)
 
 
 def half_even_double(x: Column | str, scale: int) -> Column:

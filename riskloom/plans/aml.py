@@ -3,7 +3,7 @@
 Transactions are the largest table, so every rule aggregates them with
 map-side partial aggregation before anything else: a loan with a third of
 all transactions becomes one partial row per map task.  Money sums are taken
-over exact decimal(18,2) cents, which makes them independent of row order.
+over exact integer cents, which makes them independent of row order.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom import constants as K
-from riskloom.functions import avg_money, cents, half_even_double, off_hours, off_hours_list, pct
+from riskloom.functions import avg_money, cents, half_even_double, money, off_hours, off_hours_list, pct
 from riskloom.operators.topk import top_k
 
 
@@ -44,7 +44,7 @@ def aml_structuring(txns: DataFrame, loans: DataFrame, customers: DataFrame,
               .join(customers.select("customer_id", "state", "segment"), "customer_id", "inner"))
     agg = joined.groupBy("loan_id", "customer_id", "state", "segment").agg(
         F.sum("n").alias("suspicious_txn_count"),
-        F.sum("amt").cast("double").alias("total_suspicious_amount"),
+        money(F.sum("amt")).alias("total_suspicious_amount"),
         F.max("mx").alias("max_single_txn"),
         F.countDistinct("transaction_month").alias("months_active"),
     )
@@ -59,7 +59,7 @@ def aml_structuring_txn_only(txns: DataFrame, min_amount: float = K.AML_MIN_AMOU
     """The pandas flavour: no joins, so transactions of unknown loans stay in."""
     agg = _suspicious_cash(txns, min_amount).groupBy("loan_id").agg(
         F.count("transaction_id").alias("suspicious_txn_count"),
-        F.sum(cents("amount")).cast("double").alias("total_suspicious_amount"),
+        money(F.sum(cents("amount"))).alias("total_suspicious_amount"),
         F.max("amount").alias("max_single_txn"),
     )
     out = agg.where(F.col("suspicious_txn_count") >= min_txns)
@@ -69,7 +69,7 @@ def aml_structuring_txn_only(txns: DataFrame, min_amount: float = K.AML_MIN_AMOU
 def _off_hours_report(txns: DataFrame, predicate) -> DataFrame:
     agg = txns.where(predicate).groupBy("transaction_hour").agg(
         F.count("*").alias("txn_count"),
-        F.sum(cents("amount")).cast("double").alias("total_amount"),
+        money(F.sum(cents("amount"))).alias("total_amount"),
         F.sum("is_suspicious_flag").alias("suspicious_count"),
     )
     out = agg.withColumn("suspicion_rate_pct", pct("suspicious_count", "txn_count", 2))
@@ -97,7 +97,7 @@ def aml_reversals(txns: DataFrame, min_rate: float = K.REVERSAL_MIN_RATE,
     agg = txns.groupBy("loan_id").agg(
         F.count("*").alias("total_txns"),
         F.sum("reversal_flag").alias("reversal_count"),
-        F.sum(cents("amount")).cast("double").alias("gross_volume"),
+        money(F.sum(cents("amount"))).alias("gross_volume"),
     )
     out = (agg.withColumn("reversal_rate_pct", pct("reversal_count", "total_txns", 2))
            .where((F.col("reversal_rate_pct") > min_rate) & (F.col("total_txns") >= min_txns))
