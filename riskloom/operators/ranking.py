@@ -148,7 +148,7 @@ def global_rank(df: DataFrame, order: Sequence[tuple[str, bool]], tiebreak: Sequ
         F.min_by(key, _ROW).alias("first_key"),
         F.max_by(key, _ROW).alias("last_key"),
         F.max(_RUN).alias("last_run"),
-    )
+    ).checkpoint(eager=True)  # one row per partition; computed in a single scan
     offsets = _offsets(stats)
 
     res = local.join(F.broadcast(offsets), _PID)

@@ -30,3 +30,15 @@ def top_k(df: DataFrame, k: int | None, order: Sequence[tuple[str, bool]],
     """The first ``k`` rows of ``df`` in ``order`` (all rows, sorted, if k is None)."""
     ordered = df.orderBy(*order_exprs(order, tiebreak))
     return ordered if k is None else ordered.limit(k)
+
+
+def sort_small(df: DataFrame, order: Sequence[tuple[str, bool]],
+               tiebreak: Sequence[str] = ()) -> DataFrame:
+    """Total order of a result with a *bounded* number of rows (one row per
+    category of a fixed vocabulary: loan types, states, hours, years).
+
+    A global ``orderBy`` plans a range exchange, which first runs a sampling
+    job over its input; for a few dozen aggregated rows gathering them into one
+    partition and sorting there is cheaper.  Not for unbounded results.
+    """
+    return df.repartition(1).sortWithinPartitions(*order_exprs(order, tiebreak))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from riskloom import constants as K
 from riskloom.functions import avg_money, cents, half_even_double, money, off_hours, off_hours_list, pct
-from riskloom.operators.topk import top_k
+from riskloom.operators.topk import sort_small, top_k
 
 
 def _suspicious_cash(txns: DataFrame, min_amount: float) -> DataFrame:
@@ -73,7 +73,7 @@ def _off_hours_report(txns: DataFrame, predicate) -> DataFrame:
         F.sum("is_suspicious_flag").alias("suspicious_count"),
     )
     out = agg.withColumn("suspicion_rate_pct", pct("suspicious_count", "txn_count", 2))
-    return top_k(out, None, [("suspicion_rate_pct", False)], ["transaction_hour"])
+    return sort_small(out, [("suspicion_rate_pct", False)], ["transaction_hour"])
 
 
 def aml_off_hours(txns: DataFrame, start: int = K.OFF_HOURS_START,
@@ -116,7 +116,7 @@ def channel_risk(txns: DataFrame) -> DataFrame:
     out = agg.select("channel", "total_transactions", "suspicious_transactions",
                      avg_money("_cents", "_n", 2).alias("avg_txn_amount"),
                      pct("suspicious_transactions", "total_transactions", 2).alias("suspicion_rate_pct"))
-    return top_k(out, None, [("suspicion_rate_pct", False)], ["channel"])
+    return sort_small(out, [("suspicion_rate_pct", False)], ["channel"])
 
 
 def channel_risk_pandas(txns: DataFrame) -> DataFrame:
@@ -132,4 +132,4 @@ def channel_risk_pandas(txns: DataFrame) -> DataFrame:
                      half_even_double(F.col("suspicious").cast("double")
                                       / F.col("total_txns").cast("double") * 100, 2)
                      .alias("suspicion_rate_pct"))
-    return top_k(out, None, [("suspicion_rate_pct", False)], ["channel"])
+    return sort_small(out, [("suspicion_rate_pct", False)], ["channel"])

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from riskloom import constants as K
 from riskloom.functions import avg_round, dpd_bucket, flag, half_even_double, pct, score_band, stressed
 from riskloom.operators.share import total_as_scalar
-from riskloom.operators.topk import top_k
+from riskloom.operators.topk import sort_small, top_k
 
 
 def gross_npa_rate(loans: DataFrame) -> DataFrame:
@@ -21,7 +21,7 @@ def gross_npa_rate(loans: DataFrame) -> DataFrame:
         F.sum("loan_amount").alias("total_amount"),
     )
     out = agg.withColumn("gross_npa_rate_pct", pct("npa_amount", "total_amount", 2))
-    return top_k(out, None, [("gross_npa_rate_pct", False)], ["loan_type"])
+    return sort_small(out, [("gross_npa_rate_pct", False)], ["loan_type"])
 
 
 def dpd_buckets(loans: DataFrame) -> DataFrame:
@@ -34,7 +34,7 @@ def dpd_buckets(loans: DataFrame) -> DataFrame:
                F.count("loan_amount").alias("_n")))
     out = agg.select("dpd_bucket", "accounts", "exposure_inr",
                      avg_round("exposure_inr", "_n", 0).alias("avg_exposure"))
-    return top_k(out, None, [("exposure_inr", False)], ["dpd_bucket"])
+    return sort_small(out, [("exposure_inr", False)], ["dpd_bucket"])
 
 
 def dpd_buckets_pandas(loans: DataFrame) -> DataFrame:
@@ -44,7 +44,7 @@ def dpd_buckets_pandas(loans: DataFrame) -> DataFrame:
            .groupBy("dpd_bucket").agg(
                F.count("loan_id").alias("accounts"),
                F.sum("loan_amount").alias("exposure_inr")))
-    return top_k(agg, None, [("exposure_inr", False)], ["dpd_bucket"])
+    return sort_small(agg, [("exposure_inr", False)], ["dpd_bucket"])
 
 
 def vintage_default_rate(loans: DataFrame) -> DataFrame:
@@ -57,7 +57,7 @@ def vintage_default_rate(loans: DataFrame) -> DataFrame:
     out = agg.select("disbursement_year", "loans_disbursed", "stressed_accounts",
                      pct("stressed_accounts", "loans_disbursed", 2).alias("default_rate_pct"),
                      "total_disbursed_inr")
-    return top_k(out, None, [("disbursement_year", True)])
+    return sort_small(out, [("disbursement_year", True)])
 
 
 def vintage_default_rate_pandas(loans: DataFrame) -> DataFrame:
@@ -69,7 +69,7 @@ def vintage_default_rate_pandas(loans: DataFrame) -> DataFrame:
     )
     rate = F.col("stressed").cast("double") / F.col("loans_disbursed").cast("double") * 100
     out = agg.withColumn("default_rate_pct", half_even_double(rate, 2))
-    return top_k(out, None, [("disbursement_year", True)])
+    return sort_small(out, [("disbursement_year", True)])
 
 
 def high_risk_micro_segments(loans: DataFrame, customers: DataFrame,
@@ -119,4 +119,4 @@ def credit_score_bands(customers: DataFrame) -> DataFrame:
     agg = (customers.withColumn("score_band", score_band("credit_score"))
            .groupBy("score_band").agg(F.count("*").alias("customers")))
     out = agg.withColumn("pct_of_portfolio", pct("customers", total, 2))
-    return top_k(out, None, [("customers", False)], ["score_band"])
+    return sort_small(out, [("customers", False)], ["score_band"])

@@ -3,7 +3,8 @@
 Joins of loans with customers are written as *aggregate, then join*: loans
 are first reduced to one row per join key (plus the loan-side grouping
 columns) with map-side partial aggregation, and only that reduced frame meets
-the customer table.  A customer holding a third of all loans therefore costs
+the customer table (itself reduced to one row per customer_id where only the
+score is needed).  A customer holding a third of all loans therefore costs
 one partial row per map task instead of a third of the join input, and the
 results stay exact even when customer_id is duplicated in the dimension (each
 customer copy multiplies the per-customer sums exactly as the row-level join
@@ -15,9 +16,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.functions import avg_round, flag, half_even_double, pct, round_ratio, stressed
+from riskloom.functions import avg_round, flag, half_even_double, pct, stressed
 from riskloom.operators.share import grand_total
-from riskloom.operators.topk import top_k
+from riskloom.operators.topk import sort_small
+from riskloom.plans.common import customer_scores
 
 
 def portfolio_by_loan_type(loans: DataFrame) -> DataFrame:
@@ -34,7 +36,7 @@ def portfolio_by_loan_type(loans: DataFrame) -> DataFrame:
         avg_round("total_exposure_inr", "_n_amount", 2).alias("avg_loan_amount"),
         pct("total_exposure_inr", grand_total("total_exposure_inr"), 2).alias("portfolio_share_pct"),
     )
-    return top_k(out, None, [("total_exposure_inr", False)], ["loan_type"])
+    return sort_small(out, [("total_exposure_inr", False)], ["loan_type"])
 
 
 def portfolio_by_loan_type_int(loans: DataFrame) -> DataFrame:
@@ -53,7 +55,7 @@ def portfolio_by_loan_type_int(loans: DataFrame) -> DataFrame:
         F.bround("_avg", 0).cast("bigint").alias("avg_loan_amount"),
         half_even_double(share, 2).alias("portfolio_share_pct"),
     )
-    return top_k(out, None, [("total_exposure", False)], ["loan_type"])
+    return sort_small(out, [("total_exposure", False)], ["loan_type"])
 
 
 def geographic_concentration(loans: DataFrame, customers: DataFrame) -> DataFrame:
@@ -64,14 +66,15 @@ def geographic_concentration(loans: DataFrame, customers: DataFrame) -> DataFram
         F.count("*").alias("n_rows"),
         F.sum("loan_amount").alias("amount"),
     )
-    scores = customers.select("customer_id", F.col("credit_score").cast("bigint").alias("score"))
-    joined = per_customer.join(scores, "customer_id", "inner")
+    # one row per customer_id on both sides: (state, customer) pairs are
+    # distinct, so counting joined rows counts distinct borrowers per state
+    joined = per_customer.join(customer_scores(customers), "customer_id", "inner")
     agg = joined.groupBy("state").agg(
-        F.countDistinct("customer_id").alias("unique_borrowers"),
-        F.sum("n_loans").alias("total_loans"),
-        F.sum("amount").alias("exposure_inr"),
-        F.sum(F.col("n_rows") * F.col("score")).alias("_score_sum"),
-        F.sum(F.when(F.col("score").isNotNull(), F.col("n_rows"))).alias("_score_n"),
+        F.count("*").alias("unique_borrowers"),
+        F.sum(F.col("n_loans") * F.col("n_copies")).alias("total_loans"),
+        F.sum(F.col("amount") * F.col("n_copies")).alias("exposure_inr"),
+        F.sum(F.col("n_rows") * F.col("score_sum")).alias("_score_sum"),
+        F.sum(F.col("n_rows") * F.col("score_n")).alias("_score_n"),
     )
     out = agg.select(
         "state",
@@ -81,7 +84,7 @@ def geographic_concentration(loans: DataFrame, customers: DataFrame) -> DataFram
         avg_round("_score_sum", "_score_n", 1).alias("avg_credit_score"),
         pct("exposure_inr", grand_total("exposure_inr"), 2).alias("exposure_share_pct"),
     )
-    return top_k(out, None, [("exposure_inr", False)], ["state"])
+    return sort_small(out, [("exposure_inr", False)], ["state"])
 
 
 def segment_concentration(loans: DataFrame, customers: DataFrame) -> DataFrame:
@@ -112,10 +115,5 @@ def segment_concentration(loans: DataFrame, customers: DataFrame) -> DataFrame:
         "stressed_accounts",
         pct("stressed_accounts", "_rows", 2).alias("stress_rate_pct"),
     )
-    return top_k(out, None, [("stress_rate_pct", False)], ["segment", "employment_type"])
-
+    return sort_small(out, [("stress_rate_pct", False)], ["segment", "employment_type"])
 
-__all__ = [
-    "portfolio_by_loan_type", "portfolio_by_loan_type_int", "geographic_concentration",
-    "segment_concentration", "round_ratio",
-]

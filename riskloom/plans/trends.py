@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from riskloom import constants as K
 from riskloom.functions import flag, is_in, pct, round_ratio, stressed
 from riskloom.operators.ranking import global_rank
-from riskloom.operators.topk import order_exprs, top_k
+from riskloom.operators.topk import order_exprs, sort_small, top_k
+from riskloom.plans.common import customer_scores
 
 
 def rolling_3m_defaults(loans: DataFrame, rows: int = K.ROLLING_ROWS) -> DataFrame:
@@ -28,7 +29,7 @@ def rolling_3m_defaults(loans: DataFrame, rows: int = K.ROLLING_ROWS) -> DataFra
          .rowsBetween(-(rows - 1), Window.currentRow))
     out = agg.withColumn("rolling_3m_avg_defaults",
                          round_ratio(F.sum("defaults").over(w), F.count("defaults").over(w), 2))
-    return top_k(out, None, [("disbursement_year", True), ("disbursement_month", True)])
+    return sort_small(out, [("disbursement_year", True), ("disbursement_month", True)])
 
 
 def vintage_yoy(loans: DataFrame) -> DataFrame:
@@ -44,32 +45,30 @@ def vintage_yoy(loans: DataFrame) -> DataFrame:
         F.lag("default_rate_pct", 1).over(w).alias("prev_year_rate"),
         ((hundredths - F.lag(hundredths, 1).over(w)).cast("double") / 100).alias("yoy_change_pp"),
     )
-    return top_k(out, None, [("disbursement_year", True)])
+    return sort_small(out, [("disbursement_year", True)])
 
 
 def customer_exposure(loans: DataFrame, customers: DataFrame) -> DataFrame:
     """One row per borrower: exposure, credit score, stressed loans, mean DPD.
 
-    Loans are reduced per customer before the join; the join output is
-    already partitioned by customer_id, so the final per-customer aggregate
-    (which folds duplicate customer rows exactly like the row-level join
-    would) adds no exchange.
+    Both sides are reduced to one row per customer_id before the join, so the
+    join is 1:1 and both reductions shuffle on the join key the join needs
+    anyway.  The copies count of the customer side reproduces exactly what a
+    row-level join does with a duplicated customer_id.
     """
     per_customer = loans.groupBy("customer_id").agg(
         F.sum("loan_amount").alias("amount"),
-        F.count("*").alias("n_rows"),
         F.sum(flag(stressed())).alias("n_stressed"),
         F.sum("dpd_days").alias("dpd_sum"),
         F.count("dpd_days").alias("dpd_n"),
     )
-    scores = customers.select("customer_id", F.col("credit_score").cast("bigint").alias("score"))
-    joined = per_customer.join(scores, "customer_id", "inner")
-    return joined.groupBy("customer_id").agg(
-        F.sum("amount").alias("total_exposure"),
-        (F.sum(F.col("n_rows") * F.col("score")).cast("double")
-         / F.sum(F.when(F.col("score").isNotNull(), F.col("n_rows"))).cast("double")).alias("credit_score"),
-        F.sum("n_stressed").alias("default_count"),
-        (F.sum("dpd_sum").cast("double") / F.sum("dpd_n").cast("double")).alias("dpd_avg"),
+    joined = per_customer.join(customer_scores(customers), "customer_id", "inner")
+    return joined.select(
+        "customer_id",
+        (F.col("amount") * F.col("n_copies")).alias("total_exposure"),
+        (F.col("score_sum").cast("double") / F.col("score_n").cast("double")).alias("credit_score"),
+        (F.col("n_stressed") * F.col("n_copies")).alias("default_count"),
+        (F.col("dpd_sum").cast("double") / F.col("dpd_n").cast("double")).alias("dpd_avg"),
     )
 
 
@@ -99,4 +98,6 @@ def customer_risk_ranking(loans: DataFrame, customers: DataFrame,
         ranked = head.withColumn("risk_rank", F.rank().over(w).cast("long"))
     out = ranked.select("customer_id", "total_exposure", "credit_score", "default_count", "dpd_avg",
                         "exposure_rank", "risk_rank", "exposure_decile")
-    return top_k(out, None, [("risk_rank", True)], ["customer_id"])
+    if limit is None:  # every borrower: a distributed sort
+        return top_k(out, None, [("risk_rank", True)], ["customer_id"])
+    return sort_small(out, [("risk_rank", True)], ["customer_id"])
