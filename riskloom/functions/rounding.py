@@ -31,54 +31,69 @@ def _floor_div(a: Column, b: Column) -> Column:
     return ((a - a % b) / b).cast(_DEC)
 
 
-def _floor_div_long(a: Column, b: Column) -> Column:
-    """floor(a / b) for 0 <= a < 2^53 and 0 < b < 2^53 (BIGINT).
+def _floor_div_small(a: Column, b: Column) -> Column:
+    """floor(a / b) for integers 0 <= a < 2^52, 0 < b, via one double division.
 
-    ``a - a % b`` is an exact multiple of ``b``; both operands are exactly
-    representable as doubles, so the double quotient is the exact integer.
+    a and b are exact doubles and the quotient is correctly rounded.  If
+    a = q*b + r with 0 < r < b, the gap to q + 1 is (b - r)/b >= 1/b, while the
+    rounding error is at most (a/b) * 2^-53 < 1/b because a < 2^53; so the
+    rounded quotient never reaches q + 1 and floor gives q exactly.
     """
-    return ((a - a % b).cast("double") / b.cast("double")).cast("long")
+    return F.floor(a.cast("double") / b.cast("double"))
 
 
-# Integral inputs below these bounds take the BIGINT path (no intermediate
-# reaches 2^53); anything larger falls back to exact decimal(38,0).
-_LONG_DEN_MAX = 2 ** 51
+# Integral inputs below these bounds take the BIGINT/double path; anything
+# larger falls back to exact decimal(38,0).
+_SMALL = 2 ** 50
 
 
-def _rounded_quotient(an, ad, factor: int, mode: str, floor_div):
-    """round(an * factor / ad) for non-negative an, positive ad."""
+def _rounded(an: Column, ad: Column, factor: int, mode: str, floor_div) -> Column:
+    """round(an * factor / ad) for non-negative an and positive ad."""
+    a = an * (2 * factor) + ad
+    b = ad * 2
+    q_up = floor_div(a, b)  # half-up
     if mode == "half_up":
-        return floor_div(an * (2 * factor) + ad, ad * 2)
+        return q_up
     if mode == "half_even":
-        t = an * factor
-        q0 = floor_div(t, ad)
-        twice_rem = (t - q0 * ad) * 2
-        return (F.when(twice_rem > ad, q0 + 1)
-                .when((twice_rem == ad) & (q0 % 2 == 1), q0 + 1)
-                .otherwise(q0))
+        # a tie is an exact division of a by b; then step back to the even neighbour
+        tie_odd = (a % b == 0) & (q_up % 2 == 1)
+        return q_up - F.when(tie_odd, F.lit(1)).otherwise(F.lit(0))
     raise ValueError(f"unknown rounding mode {mode!r}")
 
 
-def round_ratio(num: Column | str, den: Column | str, scale: int = 2,
+_MEMO: dict[tuple, Column] = {}
+
+
+def round_ratio(num: Column | str, den: Column | str | int, scale: int = 2,
                 mode: str = "half_up", mult: int = 1) -> Column:
     """ROUND(num * mult / den, scale) on the exact rational value, as a double.
 
     ``num`` and ``den`` must be integer valued (counts, sums of BIGINT, exact
     cents).  ``mode`` is ``half_up`` (SQL ROUND: ties away from zero) or
     ``half_even`` (banker's rounding).  NULL when ``den`` is 0 or NULL.
+    Expressions over column names are built once per Spark context.
     """
-    num, den = _col(num), _col(den)
+    if isinstance(num, str) and isinstance(den, (str, int)):
+        from pyspark import SparkContext
+
+        sc = SparkContext._active_spark_context
+        key = (sc.applicationId if sc else None, num, den, scale, mode, mult)
+        if key not in _MEMO:
+            _MEMO[key] = _round_ratio(F.col(num), F.col(den) if isinstance(den, str) else F.lit(den),
+                                      scale, mode, mult)
+        return _MEMO[key]
+    return _round_ratio(_col(num), F.lit(den) if isinstance(den, int) else _col(den), scale, mode, mult)
+
+
+def _round_ratio(num: Column, den: Column, scale: int, mode: str, mult: int) -> Column:
     factor = mult * 10 ** scale
-    num_max = 2 ** 53 // (4 * factor)
-    an_l, ad_l = F.abs(num).cast("long"), F.abs(den).cast("long")
-    fast = _rounded_quotient(an_l, F.when(ad_l != 0, ad_l), factor, mode, _floor_div_long)
-    an_d, ad_d = F.abs(num).cast(_DEC), F.abs(den).cast(_DEC)
-    exact = _rounded_quotient(an_d, F.when(ad_d != 0, ad_d), factor, mode, _floor_div)
-    small = (F.abs(num) <= num_max) & (F.abs(den) <= _LONG_DEN_MAX)
+    abs_num, abs_den = F.abs(num), F.abs(den)
+    small = (abs_num <= _SMALL // (2 * factor)) & (abs_den <= _SMALL)
+    fast = _rounded(abs_num.cast("long"), abs_den.cast("long"), factor, mode, _floor_div_small)
+    exact = _rounded(abs_num.cast(_DEC), abs_den.cast(_DEC), factor, mode, _floor_div)
     q = F.when(small, fast.cast("double")).otherwise(exact.cast("double"))
-    magnitude = q / 10 ** scale
-    negative = ((num < 0) & (den > 0)) | ((num > 0) & (den < 0))
-    return F.when(negative, -magnitude).otherwise(magnitude)
+    sign = F.when(((num < 0) & (den > 0)) | ((num > 0) & (den < 0)), F.lit(-1.0)).otherwise(F.lit(1.0))
+    return F.when(den != 0, q / 10 ** scale * sign)
 
 
 def pct(num: Column | str, den: Column | str, scale: int = 2,

@@ -85,7 +85,7 @@ def kri_master_extended(loans: DataFrame, txns: DataFrame, customers: DataFrame)
     )
     ta = txns.agg(F.coalesce(F.sum("is_suspicious_flag"), F.lit(0)).alias("suspicious"))
     ca = customers.agg(F.sum("credit_score").alias("s"), F.count("credit_score").alias("n"))
-    billions = round_ratio("exposure", F.lit(10 ** 9), 2, "half_even")
+    billions = round_ratio("exposure", 10 ** 9, 2, "half_even")
     npa_rate = round_ratio("npa", "exposure", 2, "half_even", mult=100)
     avg_loan = round_ratio("exposure", "n_amount", 0, "half_even").cast("bigint")
     names = ("KRI", "Value", "Status")

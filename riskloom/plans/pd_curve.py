@@ -58,6 +58,6 @@ def expected_status_mix(loans: DataFrame, customers: DataFrame) -> DataFrame:
     )
     return agg.select(
         "loan_type", "loans",
-        *[round_ratio(f"_s{i}", F.lit(_SCALE), 2).alias(_status_col(s))
+        *[round_ratio(f"_s{i}", _SCALE, 2).alias(_status_col(s))
           for i, s in enumerate(K.LOAN_STATUSES)],
     ).orderBy("loan_type")
