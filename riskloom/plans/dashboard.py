@@ -60,8 +60,9 @@ def kri_master(loans: DataFrame, txns: DataFrame, customers: DataFrame) -> DataF
 
 
 def _fixed2(x: Column) -> Column:
-    """A double that holds exact hundredths, printed with two decimals."""
-    return F.format_string("%.2f", x)
+    """A double that holds exact hundredths, printed with two decimals
+    (NULL stays NULL: Java's formatter would print a truncated "null")."""
+    return F.when(x.isNotNull(), F.format_string("%.2f", x))
 
 
 def kri_master_extended(loans: DataFrame, txns: DataFrame, customers: DataFrame) -> DataFrame:

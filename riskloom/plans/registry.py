@@ -16,6 +16,7 @@ from riskloom.sources.tables import Domain, load_domain
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 _REGISTRY: dict[str, QueryFn] = {}
+_DOMAIN_FNS: dict[str, Callable[[Domain], DataFrame]] = {}
 
 
 def register(name: str):
@@ -28,6 +29,7 @@ def register(name: str):
         run.__name__ = name
         run.__doc__ = fn.__doc__
         _REGISTRY[name] = run
+        _DOMAIN_FNS[name] = fn
         return fn
 
     return deco
@@ -46,3 +48,9 @@ def all_queries() -> dict[str, QueryFn]:
     from riskloom.plans import catalog  # noqa: F401
 
     return dict(_REGISTRY)
+
+
+def domain_queries() -> dict[str, Callable[[Domain], DataFrame]]:
+    """The same reports as functions of already-loaded domain tables."""
+    all_queries()
+    return dict(_DOMAIN_FNS)
