@@ -98,6 +98,7 @@ HIGH_RISK_MIN_DPD = 30
 HIGH_RISK_MIN_ACCOUNTS = 5
 HIGH_RISK_LIMIT = 20
 AML_MIN_AMOUNT = 100000
+LARGE_AMOUNT = 200000
 AML_MIN_TXNS = 3
 AML_LIMIT = 50
 AML_TXN_ONLY_LIMIT = 20

@@ -67,6 +67,12 @@ def off_hours_list(start: int = K.OFF_HOURS_START, end: int = K.OFF_HOURS_END) -
     return list(range(start, end + 1))
 
 
+def large_amount_flag(amount: Column | str = "amount", threshold: float = K.LARGE_AMOUNT) -> Column:
+    """1 when a transaction is above the large-amount threshold, else 0
+    (the deterministic part of the suspicious-transaction rule)."""
+    return flag(_col(amount) > threshold)
+
+
 def pd_millis(score: Column | str = "credit_score") -> Column:
     """Probability of default in thousandths: clamp(anchor - score, 20, 450).
 

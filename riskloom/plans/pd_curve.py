@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from riskloom import constants as K
 from riskloom.functions import pd_millis, pd_score, round_ratio, status_weights_e5
-from riskloom.functions.rounding import _floor_div
+from riskloom.functions.rounding import _floor_div_small
 
 _SCALE = 10 ** 9
 
@@ -45,10 +45,11 @@ def expected_status_mix(loans: DataFrame, customers: DataFrame) -> DataFrame:
     pd_m = pd_millis("credit_score")
     w = status_weights_e5(pd_m)
     total = w[0] + w[1] + w[2] + w[3] + w[4] + w[5]
-    dec = "decimal(38,0)"
+    # w < 2^17 and total < 2^18, so w * 2e9 + total < 2^52: the exact
+    # double-division floor applies (no decimal arithmetic per row)
     parts = [
-        (_floor_div(wi.cast(dec) * (2 * _SCALE) + total.cast(dec), total.cast(dec) * 2) * F.col("n"))
-        .alias(f"_u{i}")
+        (_floor_div_small(wi.cast("long") * (2 * _SCALE) + total, total.cast("long") * 2).cast("long")
+         * F.col("n")).alias(f"_u{i}")
         for i, wi in enumerate(w)
     ]
     units = joined.select("loan_type", "n", *parts)

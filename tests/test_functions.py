@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from riskloom import constants as K
 from riskloom.functions import (
-    dpd_bucket, off_hours, off_hours_list, pct, pd_score, round_ratio, score_band,
+    dpd_bucket, large_amount_flag, off_hours, off_hours_list, pct, pd_score, round_ratio, score_band,
 )
 
 
@@ -79,3 +79,8 @@ def test_pd_clamps_and_unknown_score(spark):
     df = spark.createDataFrame([(s,) for s in [300, 399, 400, 830, 831, None]], "s int")
     got = [r.p for r in df.select(pd_score("s").alias("p")).collect()]
     assert got == [0.45, 0.45, 0.45, 0.02, 0.02, 0.2]
+
+
+def test_large_amount_flag(spark):
+    df = spark.createDataFrame([(a,) for a in [199999.99, 200000.0, 200000.01, None]], "a double")
+    assert [r.f for r in df.select(large_amount_flag("a").alias("f")).collect()] == [0, 0, 1, 0]
