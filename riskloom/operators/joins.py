@@ -1,0 +1,69 @@
+"""Joins whose small side is only known to be small at run time.
+
+A filtered, aggregated fact table (say, loans with at least three flagged
+cash withdrawals) is usually tiny, but the planner cannot prove it before
+running: its estimate comes from the input size.  Left to a sort-merge join,
+the large dimension it meets (all loans) is shuffled in full, and adaptive
+execution can only switch to a broadcast *after* that shuffle was written.
+
+``checked_broadcast`` materialises the small side once (a reliable
+checkpoint in the shared checkpoint folder, which also cuts its lineage),
+counts it, and broadcasts it only when both the row count and an estimate of
+its size are under the limits; otherwise the caller's join proceeds as a
+normal shuffle join (with AQE skew handling).  Nothing but the row count goes
+to the driver.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from riskloom.session import ensure_checkpoint_dir
+
+DEFAULT_MAX_ROWS = 2_000_000
+
+
+def _row_bytes(schema: T.StructType) -> int:
+    size = 0
+    for f in schema.fields:
+        t = f.dataType
+        if isinstance(t, (T.LongType, T.DoubleType, T.TimestampType, T.TimestampNTZType)):
+            size += 8
+        elif isinstance(t, (T.IntegerType, T.FloatType, T.DateType)):
+            size += 4
+        elif isinstance(t, T.DecimalType):
+            size += 16
+        else:
+            size += 32  # strings and nested values: a generous average
+    return size + 16
+
+
+def broadcast_budget(df: DataFrame) -> int:
+    """Bytes a broadcast may take: the session's broadcast threshold, or 8 MiB
+    when automatic broadcasting is switched off."""
+    raw = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
+    raw = raw.strip().lower().rstrip("b")
+    mult = 1
+    for suffix, m in (("k", 1 << 10), ("m", 1 << 20), ("g", 1 << 30)):
+        if raw.endswith(suffix):
+            raw, mult = raw[:-1], m
+    try:
+        value = int(float(raw) * mult)
+    except ValueError:
+        value = 10 << 20
+    return value if value > 0 else 8 << 20
+
+
+def checked_broadcast(small: DataFrame, max_rows: int = DEFAULT_MAX_ROWS,
+                      max_bytes: int | None = None) -> tuple[DataFrame, bool]:
+    """Materialise ``small`` and return (frame, broadcast?) — the frame wrapped
+    in a broadcast hint only if it fits the row and byte limits."""
+    ensure_checkpoint_dir(small.sparkSession)
+    fixed = small.checkpoint(eager=True)
+    rows = fixed.count()
+    budget = max_bytes if max_bytes is not None else broadcast_budget(small)
+    if rows <= max_rows and rows * _row_bytes(fixed.schema) <= budget:
+        return F.broadcast(fixed), True
+    return fixed, False

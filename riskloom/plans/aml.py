@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from riskloom import constants as K
 from riskloom.functions import avg_money, cents, half_even_double, money, off_hours, off_hours_list, pct
+from riskloom.operators.joins import checked_broadcast
 from riskloom.operators.topk import sort_small, top_k
 
 
@@ -33,15 +34,22 @@ def aml_structuring(txns: DataFrame, loans: DataFrame, customers: DataFrame,
     (loan, month) -> join loans -> join customers -> final aggregate on the
     report key.  Only flagged rows, already reduced, ever reach a join, and the
     result equals the row-level three-way join for any key multiplicity.
+
+    The flagged aggregate is normally tiny while loans and customers are the
+    largest dimensions, so it is materialised and, if its checked size allows,
+    broadcast: loans and customers are then streamed through hash joins
+    without being shuffled.  Beyond the limit both joins shuffle as usual.
     """
     per_month = _suspicious_cash(txns, min_amount).groupBy("loan_id", "transaction_month").agg(
         F.count("*").alias("n"),
         F.sum(cents("amount")).alias("amt"),
         F.max("amount").alias("mx"),
     )
-    joined = (per_month
-              .join(loans.select("loan_id", "customer_id"), "loan_id", "inner")
-              .join(customers.select("customer_id", "state", "segment"), "customer_id", "inner"))
+    per_month, small = checked_broadcast(per_month)
+    with_loan = per_month.join(loans.select("loan_id", "customer_id"), "loan_id", "inner")
+    if small:  # at most one row per flagged row and matching loan copy: still small
+        with_loan = F.broadcast(with_loan)
+    joined = with_loan.join(customers.select("customer_id", "state", "segment"), "customer_id", "inner")
     agg = joined.groupBy("loan_id", "customer_id", "state", "segment").agg(
         F.sum("n").alias("suspicious_txn_count"),
         money(F.sum("amt")).alias("total_suspicious_amount"),

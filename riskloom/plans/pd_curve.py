@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from riskloom import constants as K
 from riskloom.functions import pd_millis, pd_score, round_ratio, status_weights_e5
 from riskloom.functions.rounding import _floor_div_small
+from riskloom.operators.topk import sort_small
 
 _SCALE = 10 ** 9
 
@@ -61,4 +62,4 @@ def expected_status_mix(loans: DataFrame, customers: DataFrame) -> DataFrame:
         "loan_type", "loans",
         *[round_ratio(f"_s{i}", _SCALE, 2).alias(_status_col(s))
           for i, s in enumerate(K.LOAN_STATUSES)],
-    ).orderBy("loan_type")
+    ).transform(lambda df: sort_small(df, [("loan_type", True)]))
