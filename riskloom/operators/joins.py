@@ -6,12 +6,11 @@ running: its estimate comes from the input size.  Left to a sort-merge join,
 the large dimension it meets (all loans) is shuffled in full, and adaptive
 execution can only switch to a broadcast *after* that shuffle was written.
 
-``checked_broadcast`` materialises the small side once (a reliable
-checkpoint in the shared checkpoint folder, which also cuts its lineage),
-counts it, and broadcasts it only when both the row count and an estimate of
-its size are under the limits; otherwise the caller's join proceeds as a
-normal shuffle join (with AQE skew handling).  Nothing but the row count goes
-to the driver.
+``checked_broadcast`` materialises the small side once (a table written to
+the shared checkpoint folder, which also cuts its lineage), counts it, and
+broadcasts it only when both the row count and an estimate of its size are
+under the limits; otherwise the caller's join proceeds as a normal shuffle
+join (with AQE skew handling).  Nothing but the row count goes to the driver.
 """
 
 from __future__ import annotations
@@ -20,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskloom.session import ensure_checkpoint_dir
+from riskloom.session import materialize
 
 DEFAULT_MAX_ROWS = 2_000_000
 
@@ -60,9 +59,8 @@ def checked_broadcast(small: DataFrame, max_rows: int = DEFAULT_MAX_ROWS,
                       max_bytes: int | None = None) -> tuple[DataFrame, bool]:
     """Materialise ``small`` and return (frame, broadcast?) — the frame wrapped
     in a broadcast hint only if it fits the row and byte limits."""
-    ensure_checkpoint_dir(small.sparkSession)
-    fixed = small.checkpoint(eager=True)
-    rows = fixed.count()
+    fixed = materialize(small, "broadcast-candidate")
+    rows = fixed.count()  # row counts come from the parquet footers
     budget = max_bytes if max_bytes is not None else broadcast_budget(small)
     if rows <= max_rows and rows * _row_bytes(fixed.schema) <= budget:
         return F.broadcast(fixed), True

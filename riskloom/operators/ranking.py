@@ -12,11 +12,12 @@ work spread over all tasks:
 2. One vectorised pass per partition (``mapInArrow``, Arrow batches) gives
    every row its local row index and the local index where its run of equal
    keys starts.
-3. The pass is checkpointed once; per-partition statistics (row count,
-   first key, last key, start of the last run) are JVM aggregates over it.
-   They hold one row per partition, so the prefix sums and
-   the carry of runs that continue from earlier partitions are computed on a
-   frame whose size is bounded by the partition count, and broadcast back.
+3. The pass is written once to the shared checkpoint folder; per-partition
+   statistics (row count, first key, last key, start of the last run) are JVM
+   aggregates over it.  They hold one row per partition, so the prefix sums
+   and the carry of runs that continue from earlier partitions are computed
+   on a frame whose size is bounded by the partition count, and broadcast
+   back.
 
 rank = global index of the first row of the row's run of equal keys (+1);
 row_number and NTILE use the global index directly.  Nulls sort as in Spark
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskloom.operators.topk import order_exprs
-from riskloom.session import ensure_checkpoint_dir, shuffle_partitions
+from riskloom.session import materialize, shuffle_partitions
 
 _PID, _ROW, _RUN = "_rk_pid", "_rk_row", "_rk_run"
 
@@ -134,12 +135,11 @@ def global_rank(df: DataFrame, order: Sequence[tuple[str, bool]], tiebreak: Sequ
     ])
     local = ranged.mapInArrow(_local_pass(key_cols), out_schema)
     # Statistics and final numbers must see the *same* range partitioning: two
-    # independent range exchanges sample their bounds independently.  A
-    # reliable checkpoint (in the cluster's shared checkpoint folder) fixes
-    # one materialisation and cuts the lineage, so a lost executor costs a
-    # re-read, not a re-partitioning with different bounds.
-    ensure_checkpoint_dir(spark)
-    local = local.checkpoint(eager=True)
+    # independent range exchanges sample their bounds independently.  Writing
+    # the pass once to the cluster's shared checkpoint folder fixes one
+    # materialisation and cuts the lineage, so a lost executor costs a re-read,
+    # not a re-partitioning with different bounds.
+    local = materialize(local, "rank-pass")
 
     # --- per-partition statistics (JVM, one row per partition) ---------------
     key = F.struct(*[F.col(c) for c in key_cols])
@@ -148,7 +148,7 @@ def global_rank(df: DataFrame, order: Sequence[tuple[str, bool]], tiebreak: Sequ
         F.min_by(key, _ROW).alias("first_key"),
         F.max_by(key, _ROW).alias("last_key"),
         F.max(_RUN).alias("last_run"),
-    ).checkpoint(eager=True)  # one row per partition; computed in a single scan
+    )
     offsets = _offsets(stats)
 
     res = local.join(F.broadcast(offsets), _PID)

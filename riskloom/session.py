@@ -64,5 +64,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{os.getpid()}"
 
 
+def materialize(df, name: str):
+    """Write ``df`` once as a parquet table under the shared checkpoint folder
+    and return a DataFrame reading it back.
+
+    This cuts the lineage like ``checkpoint()`` but computes the input only
+    once (an eager RDD checkpoint runs its input twice unless it is cached),
+    and the files survive the loss of any executor.
+    """
+    import uuid
+
+    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex[:12]}")
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
