@@ -3,6 +3,8 @@ high-risk micro-segments and the credit-score distribution."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,9 +49,15 @@ def dpd_buckets_pandas(loans: DataFrame) -> DataFrame:
     return sort_small(agg, [("exposure_inr", False)], ["dpd_bucket"])
 
 
-def vintage_default_rate(loans: DataFrame) -> DataFrame:
+def for_years(loans: DataFrame, years: Sequence[int] | None) -> DataFrame:
+    """Restrict loans to some disbursement years.  On the year-partitioned
+    table this is a partition filter: other years' files are never listed."""
+    return loans if years is None else loans.where(F.col("disbursement_year").isin(list(years)))
+
+
+def vintage_default_rate(loans: DataFrame, years: Sequence[int] | None = None) -> DataFrame:
     """Stressed share per disbursement year (groups on the partition column)."""
-    agg = loans.groupBy("disbursement_year").agg(
+    agg = for_years(loans, years).groupBy("disbursement_year").agg(
         F.count("*").alias("loans_disbursed"),
         F.sum(flag(stressed())).alias("stressed_accounts"),
         F.sum("loan_amount").alias("total_disbursed_inr"),

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from riskloom import constants as K
 from riskloom.functions import pct, round_ratio
+from riskloom.functions.formatting import percent2, rupees_billions, rupees_grouped
 from riskloom.operators.topk import sort_small
 
 
@@ -59,12 +60,6 @@ def kri_master(loans: DataFrame, txns: DataFrame, customers: DataFrame) -> DataF
     )
 
 
-def _fixed2(x: Column) -> Column:
-    """A double that holds exact hundredths, printed with two decimals
-    (NULL stays NULL: Java's formatter would print a truncated "null")."""
-    return F.when(x.isNotNull(), F.format_string("%.2f", x))
-
-
 def kri_master_extended(loans: DataFrame, txns: DataFrame, customers: DataFrame) -> DataFrame:
     """Ten KRIs with formatted values and a fixed status per KRI (KRI, Value, Status).
 
@@ -92,15 +87,15 @@ def kri_master_extended(loans: DataFrame, txns: DataFrame, customers: DataFrame)
     names = ("KRI", "Value", "Status")
     return _feed(
         _rows(la, [
-            (0, K.KRI_TOTAL_EXPOSURE, F.concat(F.lit(K.RUPEE), _fixed2(billions), F.lit("B")),
+            (0, K.KRI_TOTAL_EXPOSURE, rupees_billions(billions),
              st[K.KRI_TOTAL_EXPOSURE]),
             (1, K.KRI_ACTIVE_LOANS, F.col("active"), st[K.KRI_ACTIVE_LOANS]),
-            (2, K.KRI_GROSS_NPA, F.concat(_fixed2(npa_rate), F.lit("%")), st[K.KRI_GROSS_NPA]),
+            (2, K.KRI_GROSS_NPA, percent2(npa_rate), st[K.KRI_GROSS_NPA]),
             (3, K.KRI_DPD90_PANDAS, F.col("dpd90"), st[K.KRI_DPD90_PANDAS]),
             (6, K.KRI_WRITTEN_OFF, F.col("written_off"), st[K.KRI_WRITTEN_OFF]),
             (7, K.KRI_RESTRUCTURED, F.col("restructured"), st[K.KRI_RESTRUCTURED]),
             (8, K.KRI_UNIQUE_BORROWERS, F.col("borrowers"), st[K.KRI_UNIQUE_BORROWERS]),
-            (9, K.KRI_AVG_LOAN, F.concat(F.lit(K.RUPEE), F.format_number(avg_loan, 0)), st[K.KRI_AVG_LOAN]),
+            (9, K.KRI_AVG_LOAN, rupees_grouped(avg_loan), st[K.KRI_AVG_LOAN]),
         ], names),
         _rows(ta, [(4, K.KRI_SUSPICIOUS, F.col("suspicious"), st[K.KRI_SUSPICIOUS])], names),
         _rows(ca, [(5, K.KRI_AVG_SCORE, round_ratio("s", "n", 0, "half_even").cast("bigint"),

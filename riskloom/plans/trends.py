@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -10,17 +12,20 @@ from riskloom.functions import flag, is_in, pct, round_ratio, stressed
 from riskloom.operators.ranking import global_rank
 from riskloom.operators.topk import order_exprs, sort_small, top_k
 from riskloom.plans.common import customer_scores
+from riskloom.plans.credit import for_years
 
 
-def rolling_3m_defaults(loans: DataFrame, rows: int = K.ROLLING_ROWS) -> DataFrame:
+def rolling_3m_defaults(loans: DataFrame, rows: int = K.ROLLING_ROWS,
+                        years: Sequence[int] | None = None) -> DataFrame:
     """Per disbursement (year, month): new loans, defaults (Default/NPA), and
     the average of defaults over the current and ``rows - 1`` preceding
     *rows* (months without loans are not filled in).
 
     The window has no PARTITION BY, but it runs on the aggregated calendar
-    (one row per year-month), never on loans.
+    (one row per year-month), never on loans.  ``years`` restricts the input
+    (a partition filter on the year-partitioned table).
     """
-    agg = loans.groupBy("disbursement_year", "disbursement_month").agg(
+    agg = for_years(loans, years).groupBy("disbursement_year", "disbursement_month").agg(
         F.count("*").alias("new_loans"),
         F.sum(flag(is_in("loan_status", K.DEFAULT_STATUSES))).alias("defaults"),
     )
@@ -32,9 +37,10 @@ def rolling_3m_defaults(loans: DataFrame, rows: int = K.ROLLING_ROWS) -> DataFra
     return sort_small(out, [("disbursement_year", True), ("disbursement_month", True)])
 
 
-def vintage_yoy(loans: DataFrame) -> DataFrame:
-    """Stressed rate per disbursement year against the previous year's row."""
-    agg = loans.groupBy("disbursement_year").agg(
+def vintage_yoy(loans: DataFrame, years: Sequence[int] | None = None) -> DataFrame:
+    """Stressed rate per disbursement year against the previous year's row
+    (the previous row among the selected ``years``, as LAG does)."""
+    agg = for_years(loans, years).groupBy("disbursement_year").agg(
         pct(F.sum(flag(stressed())), F.count("*"), 2).alias("default_rate_pct"))
     w = Window.orderBy(F.col("disbursement_year").asc_nulls_first())
     # the rates are exact hundredths: difference them as integers

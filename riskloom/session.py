@@ -24,6 +24,30 @@ RECOMMENDED_CONF = {
 }
 
 
+# The reference's session settings and what takes their place:
+#   parallel execution of independent stages -> Spark schedules independent
+#       stages of one job concurrently by itself (nothing to set);
+#   automatic map-side join conversion -> spark.sql.autoBroadcastJoinThreshold
+#       (a size check) plus AQE's runtime conversion;
+#   a fixed number of reducers -> spark.sql.shuffle.partitions, sized to the
+#       input, with AQE coalescing small partitions (never a fixed 10).
+def report_settings(spark: SparkSession, shuffle_partitions: int | None = None,
+                    broadcast_threshold_bytes: int | None = None) -> None:
+    """Apply the runtime SQL settings the reports are designed around."""
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    if shuffle_partitions is not None:
+        spark.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if broadcast_threshold_bytes is not None:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(broadcast_threshold_bytes))
+
+
+def partitions_for(input_bytes: int, target_bytes: int = 200 << 20, minimum: int = 8) -> int:
+    """A shuffle partition count for an input size (about 200 MB each)."""
+    return max(minimum, -(-input_bytes // target_bytes))
+
+
 def build_session(master: str = "local[*]", app_name: str = "riskloom",
                   shuffle_partitions: int | None = 8, extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.master(master).appName(app_name)

@@ -94,3 +94,17 @@ def test_report_csv_sink(spark):
     assert len(files) == 1
     back = spark.read.option("header", True).csv(d)
     assert back.columns == rep.columns and back.count() == rep.count()
+
+
+def test_year_argument_prunes_partitions(spark, built):
+    from riskloom.plans import credit
+
+    _, back, db, _, _ = built
+    loans = spark.table(f"{db}.loan_applications")
+    years = sorted(r[0] for r in loans.select(S.PARTITION_COLUMN).distinct().collect())[:2]
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    rep = credit.vintage_default_rate(loans, years=years)
+    plan = rep._jdf.queryExecution().executedPlan().toString()
+    part_filters = plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "disbursement_year" in part_filters and " IN (" in part_filters, part_filters
+    assert [r.disbursement_year for r in rep.collect()] == years
