@@ -20,7 +20,8 @@ _DOMAIN_FNS: dict[str, Callable[[Domain], DataFrame]] = {}
 
 
 def register(name: str):
-    """Register ``fn(domain) -> DataFrame`` (or ``fn(spark, sf_dir)`` with raw=True)."""
+    """Register ``fn(domain) -> DataFrame`` under ``name``; the query loads the
+    domain tables of ``sf_dir`` and applies ``fn``."""
 
     def deco(fn: Callable[[Domain], DataFrame]):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,6 +37,8 @@ def register(name: str):
 
 
 def register_raw(name: str):
+    """Register ``fn(spark, sf_dir) -> DataFrame`` as it is."""
+
     def deco(fn: QueryFn):
         _REGISTRY[name] = fn
         return fn

@@ -149,7 +149,11 @@ def load_domain(spark: SparkSession, sf_dir: str, fresh: bool = False) -> Domain
     re-list files and re-analyse the derivation for each one.  ``fresh=True``
     rebuilds them (e.g. after files were added to the directory).
     """
-    key = (spark._jsparkSession.sessionUUID(), sf_dir.rstrip("/"))
+    try:
+        sid = spark._jsparkSession.sessionUUID()
+    except Exception:  # e.g. a Spark Connect session: key on the Python object
+        sid = f"py-{id(spark)}"
+    key = (sid, sf_dir.rstrip("/"))
     if fresh or key not in _DOMAIN_CACHE:
         _DOMAIN_CACHE[key] = Domain(
             customers=customer_profiles(read_table(spark, sf_dir, "customer"),
