@@ -84,26 +84,36 @@ def _local_pass(key_cols: list[str]):
 
 
 def _offsets(stats: DataFrame) -> DataFrame:
-    """Per-partition offset, carried run start and total, from one-row-per-partition stats.
-
-    All frames here have at most one row per range partition.
+    """Per-partition offset, total, and the global start of each partition's
+    first run of equal keys, from one-row-per-partition statistics.
+
+    A run of equal keys may continue across partitions.  Partition q's last
+    run *continues* the previous partition's last run when q holds a single
+    key (its last run starts at 0) equal to the previous last key; a running
+    count of non-continuing partitions numbers the chains, and the start of a
+    chain is the start of the last run of its first partition.  All of this
+    is a linear pass of window functions over at most one row per range
+    partition (no pairing of partitions).
     """
-    w = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
+    order = Window.orderBy(_PID)
     st = (stats
-          .withColumn("offset", F.coalesce(F.sum("cnt").over(w), F.lit(0)).cast("long"))
-          .withColumn("total", F.sum("cnt").over(Window.partitionBy()).cast("long")))
-    prev = st.select(
-        F.col(_PID).alias("q_pid"),
-        F.col("last_key").alias("q_last_key"),
-        (F.col("offset") + F.col("last_run")).alias("q_start"),
-    )
-    carried = (st.join(F.broadcast(prev), (F.col("q_pid") < F.col(_PID))
-                       & F.col("q_last_key").eqNullSafe(F.col("first_key")), "left")
-               .groupBy(_PID, "offset", "total")
-               .agg(F.min("q_start").alias("carry")))
-    return carried.select(
+          .withColumn("offset", F.coalesce(F.sum("cnt").over(order.rowsBetween(
+              Window.unboundedPreceding, -1)), F.lit(0)).cast("long"))
+          .withColumn("total", F.sum("cnt").over(Window.partitionBy()).cast("long"))
+          .withColumn("prev_last_key", F.lag("last_key").over(order)))
+    joins_prev = F.coalesce(F.col("first_key").eqNullSafe(F.col("prev_last_key"))
+                            & F.col("prev_last_key").isNotNull(), F.lit(False))
+    st = (st.withColumn("joins_prev", joins_prev)
+          .withColumn("continues", (F.col("last_run") == 0) & F.col("joins_prev"))
+          .withColumn("chain", F.sum(F.when(F.col("continues"), 0).otherwise(1)).over(
+              order.rowsBetween(Window.unboundedPreceding, 0)))
+          .withColumn("last_run_start", F.first(F.col("offset") + F.col("last_run")).over(
+              Window.partitionBy("chain").orderBy(_PID)
+              .rowsBetween(Window.unboundedPreceding, 0))))
+    return st.select(
         _PID, "offset", "total",
-        F.least(F.coalesce(F.col("carry"), F.col("offset")), F.col("offset")).alias("first_run_start"),
+        F.when(F.col("joins_prev"), F.lag("last_run_start").over(order))
+        .otherwise(F.col("offset")).alias("first_run_start"),
     )
 
 

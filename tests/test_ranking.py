@@ -59,3 +59,17 @@ def test_plan_has_no_single_partition_exchange(spark):
     got = global_rank(df, [("v", False)], ["id"], num_partitions=4)
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in plan.split("BroadcastExchange")[0]
+
+
+@pytest.mark.parametrize("parts", [5, 23])
+def test_one_key_across_all_partitions(spark, parts):
+    rows = [(f"id{i:05d}", 7 if i % 50 else None, 1.0) for i in range(2000)]
+    df = spark.createDataFrame(rows, "id string, v long, x double")
+    got = global_rank(df, [("v", False)], ["id"], rank_col="r", row_number_col="rn", ntile=7,
+                      ntile_col="t", num_partitions=parts)
+    okey = F.col("v").desc_nulls_last()
+    exp = df.select("id", F.rank().over(Window.orderBy(okey)).cast("long").alias("r"),
+                    F.row_number().over(Window.orderBy(okey, "id")).cast("long").alias("rn"),
+                    F.ntile(7).over(Window.orderBy(okey, "id")).cast("long").alias("t"))
+    assert {tuple(r) for r in got.select("id", "r", "rn", "t").collect()} == \
+        {tuple(r) for r in exp.collect()}
