@@ -121,6 +121,11 @@ def _hq14(d: Domain):
     return trends.customer_risk_ranking(d.loans, d.customers)
 
 
+@register("customer_risk_ranking_all")  # HQ-14 before its LIMIT: every borrower ranked
+def _hq14_all(d: Domain):
+    return trends.customer_risk_ranking(d.loans, d.customers, limit=None)
+
+
 @register("vintage_yoy")  # HQ-15
 def _hq15(d: Domain):
     return trends.vintage_yoy(d.loans)
