@@ -59,8 +59,7 @@ def checked_broadcast(small: DataFrame, max_rows: int = DEFAULT_MAX_ROWS,
                       max_bytes: int | None = None) -> tuple[DataFrame, bool]:
     """Materialise ``small`` and return (frame, broadcast?) — the frame wrapped
     in a broadcast hint only if it fits the row and byte limits."""
-    fixed = materialize(small, "broadcast-candidate")
-    rows = fixed.count()  # row counts come from the parquet footers
+    fixed, rows = materialize(small, "broadcast-candidate", count=True)
     budget = max_bytes if max_bytes is not None else broadcast_budget(small)
     if rows <= max_rows and rows * _row_bytes(fixed.schema) <= budget:
         return F.broadcast(fixed), True

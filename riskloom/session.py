@@ -65,10 +65,11 @@ def build_session(master: str = "local[*]", app_name: str = "riskloom",
 
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared folder the cluster names in ``spark.checkpoint.dir``, if any."""
-    d = spark.sparkContext.getCheckpointDir()
-    if d:
-        return d
-    return spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        d = spark.sparkContext.getCheckpointDir()
+    except Exception:  # no SparkContext handle (e.g. Spark Connect)
+        d = None
+    return d or spark.conf.get("spark.checkpoint.dir", None)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -77,9 +78,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     d = checkpoint_dir(spark)
     if not d:
         d = tempfile.mkdtemp(prefix="riskloom-ckpt-")
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(d)
-    return spark.sparkContext.getCheckpointDir() or d
+    try:
+        if not spark.sparkContext.getCheckpointDir():
+            spark.sparkContext.setCheckpointDir(d)
+        return spark.sparkContext.getCheckpointDir() or d
+    except Exception:
+        return d
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -88,9 +92,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{os.getpid()}"
 
 
-def materialize(df, name: str):
+def materialize(df, name: str, count: bool = False):
     """Write ``df`` once as a parquet table under the shared checkpoint folder
-    and return a DataFrame reading it back.
+    and return a DataFrame reading it back (and, with ``count=True``, the
+    number of rows written, observed during the write itself).
 
     This cuts the lineage like ``checkpoint()`` but computes the input only
     once (an eager RDD checkpoint runs its input twice unless it is cached),
@@ -98,7 +103,14 @@ def materialize(df, name: str):
     """
     import uuid
 
+    from pyspark.sql import Observation
+    from pyspark.sql import functions as F
+
     path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex[:12]}")
+    if count:
+        obs = Observation(f"rows-{uuid.uuid4().hex[:8]}")
+        df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
+        return df.sparkSession.read.parquet(path), int(obs.get["rows"])
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
 
