@@ -53,12 +53,11 @@ def build_lake(spark: SparkSession, landing_paths: dict[str, str], root: str,
                              warehouse.schema_ddl("loan_applications"), partition_by=[part])
     warehouse.recover_partitions(spark, f"{database}.loan_applications")
 
+    # the raw landing table: header line skipped and checked against the schema
     warehouse.register_table(spark, f"{database}.transactions_raw", landing_paths["transactions"],
-                             warehouse.schema_ddl("transactions"), fmt="csv")
-    spark.sql(f"ALTER TABLE `{database}`.`transactions_raw` SET TBLPROPERTIES ('header' = 'true')")
-    txn_raw = landing.read_landing(spark, landing_paths["transactions"], "transactions")
-    txn_raw.createOrReplaceTempView(f"_{database}_transactions_raw")
-    warehouse.ctas(spark, f"{database}.transactions", f"_{database}_transactions_raw",
+                             warehouse.schema_ddl("transactions"), fmt="csv",
+                             options={"header": "true", "enforceSchema": "false"})
+    warehouse.ctas(spark, f"{database}.transactions", f"{database}.transactions_raw",
                    f"{root}/tables/transactions")
 
     return Domain(

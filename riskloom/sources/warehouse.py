@@ -46,9 +46,13 @@ def write_table_files(df: DataFrame, path: str, fmt: str = "orc", compression: s
 
 
 def register_table(spark: SparkSession, name: str, path: str, schema_ddl: str, fmt: str = "orc",
-                   partition_by: Sequence[str] = (), comment: str | None = None) -> None:
-    """Register an external table over existing files (metadata only)."""
+                   partition_by: Sequence[str] = (), comment: str | None = None,
+                   options: dict[str, str] | None = None) -> None:
+    """Register an external table over existing files (metadata only).
+    ``options`` are data-source options (e.g. ``header`` for CSV)."""
     sql = f"CREATE TABLE IF NOT EXISTS {_q(name)} ({schema_ddl}) USING {fmt}"
+    if options:
+        sql += " OPTIONS (" + ", ".join(f"'{k}' '{v}'" for k, v in options.items()) + ")"
     if partition_by:
         sql += " PARTITIONED BY (" + ", ".join(partition_by) + ")"
     if comment:

@@ -55,6 +55,9 @@ def test_catalog_inspection(spark, built):
     assert {"customer_profiles", "loan_applications", "transactions", "transactions_raw"} <= names
     info = {r[0]: r[1] for r in warehouse.describe(spark, f"{db}.transactions").collect()}
     assert info.get("Provider", "").lower() == "orc"
+    raw = spark.table(f"{db}.transactions_raw")
+    assert raw.count() == spark.table(f"{db}.transactions").count()  # no header row leaks in
+    assert raw.where("transaction_id = 'transaction_id'").count() == 0
 
 
 def test_reports_run_on_the_lake(spark, built):
