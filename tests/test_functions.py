@@ -84,3 +84,30 @@ def test_pd_clamps_and_unknown_score(spark):
 def test_large_amount_flag(spark):
     df = spark.createDataFrame([(a,) for a in [199999.99, 200000.0, 200000.01, None]], "a double")
     assert [r.f for r in df.select(large_amount_flag("a").alias("f")).collect()] == [0, 0, 1, 0]
+
+
+@pytest.mark.parametrize("mode", ["half_up", "half_even"])
+def test_round_ratio_random_magnitudes(spark, mode):
+    """Random ratios from tiny to beyond the BIGINT fast path, a fifth of them
+    exact ties at the rounding digit, against exact rational rounding."""
+    import random
+
+    rnd = random.Random(11)
+    rows = []
+    for _ in range(3000):
+        scale = rnd.choice([0, 1, 2])
+        if rnd.random() < 0.2:  # n / d * 10^scale = m + 1/2 exactly
+            k = rnd.randint(1, 10 ** 6)
+            m = rnd.randint(-10 ** 6, 10 ** 6)
+            n, d = (2 * m + 1) * k, 2 * 10 ** scale * k
+        else:
+            mag = rnd.choice([10, 10 ** 4, 10 ** 9, 10 ** 14, 10 ** 17])
+            n, d = rnd.randint(-mag, mag), rnd.randint(1, mag)
+        rows.append((n, d, scale))
+    df = spark.createDataFrame(rows, "n long, d long, s int")
+    ref = _round_half_up if mode == "half_up" else _round_half_even
+    for scale in (0, 1, 2):
+        got = df.where(f"s = {scale}").select("n", "d", round_ratio("n", "d", scale, mode).alias("r")).collect()
+        assert got
+        for r in got:
+            assert r.r == float(ref(Fraction(r.n, r.d), scale)), (r, scale, mode)
