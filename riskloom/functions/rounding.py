@@ -3,8 +3,10 @@
 SQL ``ROUND(num * 100.0 / den, 2)`` evaluated in floating point rounds
 differently across engines at half-cent ties (e.g. 46/8000 -> 0.575).  The
 helpers here evaluate the rounding on the *exact* ratio of two integer-valued
-columns with decimal(38,0) arithmetic, so the result is engine independent,
-and only the final k / 10^scale step is floating point (correctly rounded).
+columns — with BIGINT/double arithmetic while all intermediates stay below
+2^51 (exact, see ``_floor_div_small``), with decimal(38,0) beyond — so the
+result is engine independent, and only the final k / 10^scale step is
+floating point (correctly rounded).
 
 All helpers return NULL when the divisor is zero or NULL (the reports must not
 fail under ANSI mode on an empty group).
