@@ -184,3 +184,71 @@ def _ntile(r0, total, n: int):
     first = F.floor(r0 / big).cast("long") + 1
     second = m + F.floor((r0 - cut) / F.when(q > 0, q)).cast("long") + 1
     return F.when(r0 < cut, first).otherwise(second).cast("long")
+
+
+# --- ranks of a few selected rows --------------------------------------------
+
+SELECTED_MAX = 1024  # above this many selected rows, use global_rank instead
+
+
+def _before(col: str, ascending: bool, value) -> "F.Column":
+    """Rows whose ``col`` sorts strictly before ``value`` (SQL null placement:
+    ASC nulls first, DESC nulls last)."""
+    c = F.col(col)
+    if value is None:
+        return c.isNotNull() if not ascending else F.lit(False)
+    if ascending:
+        return c.isNull() | (c < F.lit(value))
+    return c > F.lit(value)
+
+
+def _equal(col: str, value) -> "F.Column":
+    return F.col(col).eqNullSafe(F.lit(value))
+
+
+def rank_selected(population: DataFrame, selected: DataFrame, order: Sequence[tuple[str, bool]],
+                  tiebreak: Sequence[str], rank_col: str = "rank", ntile: int | None = None,
+                  ntile_col: str = "ntile") -> DataFrame:
+    """RANK() (and NTILE(n)) over ``population`` for the rows of ``selected``
+    only — the k rows of a top-k report.
+
+    The rank of a row is one plus the number of rows sorting strictly before
+    it; its row number is one plus the number of rows before it in the total
+    order (key, then tie-breakers).  For k selected rows these are 2k
+    conditional counts, evaluated in one aggregation pass over the population
+    (partial counts per task, one row to merge): no shuffle, no sort and no
+    pairing of rows.  The selected rows themselves — k rows, bounded by the
+    caller's limit — are read once and returned with their ranks attached.
+    ``population`` should be materialised (it is scanned once more here).
+    """
+    head = selected.collect()
+    if len(head) > SELECTED_MAX:
+        raise ValueError(f"{len(head)} selected rows; use global_rank for more than {SELECTED_MAX}")
+    fields = selected.schema.fields
+    extra_fields = [T.StructField(rank_col, T.LongType())]
+    if ntile:
+        extra_fields.append(T.StructField(ntile_col, T.LongType()))
+    if not head:
+        return population.sparkSession.createDataFrame([], T.StructType(fields + extra_fields))
+    aggs = [F.count(F.lit(1)).alias("_n")]
+    for i, row in enumerate(head):
+        strictly, prefix_equal = F.lit(False), F.lit(True)
+        for col, ascending in order:
+            strictly = strictly | (prefix_equal & _before(col, ascending, row[col]))
+            prefix_equal = prefix_equal & _equal(col, row[col])
+        aggs.append(F.count_if(strictly).alias(f"_r{i}"))
+        for col in tiebreak:
+            strictly = strictly | (prefix_equal & _before(col, True, row[col]))
+            prefix_equal = prefix_equal & _equal(col, row[col])
+        aggs.append(F.count_if(strictly).alias(f"_p{i}"))
+    counts = population.agg(*aggs)
+    entries = F.array(*[
+        F.struct(*[F.lit(row[f.name]).cast(f.dataType).alias(f.name) for f in fields],
+                 (F.col(f"_r{i}") + 1).alias("_rank"), F.col(f"_p{i}").alias("_pos"))
+        for i, row in enumerate(head)
+    ])
+    per_row = counts.select("_n", F.inline(entries))
+    extra = [F.col("_rank").cast("long").alias(rank_col)]
+    if ntile:
+        extra.append(_ntile(F.col("_pos"), F.col("_n"), ntile).alias(ntile_col))
+    return per_row.select(*[f.name for f in fields], *extra)

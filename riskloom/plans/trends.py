@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 from riskloom import constants as K
 from riskloom.functions import flag, is_in, pct, round_ratio, stressed
-from riskloom.operators.ranking import global_rank
+from riskloom.operators.ranking import SELECTED_MAX, global_rank, rank_selected
 from riskloom.operators.topk import order_exprs, sort_small, top_k
 from riskloom.plans.common import customer_scores
 from riskloom.plans.credit import for_years
+from riskloom.session import materialize
 
 
 def rolling_3m_defaults(loans: DataFrame, rows: int = K.ROLLING_ROWS,
@@ -78,30 +79,47 @@ def customer_exposure(loans: DataFrame, customers: DataFrame) -> DataFrame:
     )
 
 
+def _risk_rank_of_head(head: DataFrame) -> DataFrame:
+    """RANK by credit score over the lowest-score rows: every row with a
+    strictly lower score than a selected row is itself selected, so the rank
+    over the selection equals the rank over all rows."""
+    w = Window.orderBy(*order_exprs([("credit_score", True)]))
+    return head.withColumn("risk_rank", F.rank().over(w).cast("long"))
+
+
 def customer_risk_ranking(loans: DataFrame, customers: DataFrame,
                           limit: int | None = K.RANKING_LIMIT, tiles: int = K.DECILES,
                           num_partitions: int | None = None) -> DataFrame:
     """Borrowers ranked by exposure (RANK, NTILE deciles) and by credit score
     (RANK, lowest score first); the ``limit`` lowest risk ranks.
 
-    Exposure rank and decile are global over all borrowers, computed with the
-    distributed ``global_rank`` (no single-partition window).  For the
-    risk rank only the ``limit`` first rows are needed: every borrower with a
-    strictly lower score than a selected borrower is itself selected, so RANK
-    over the selected rows equals the global RANK.  Ties are broken by
-    customer_id (for the limit and for NTILE).
+    Exposure rank and decile are global over all borrowers.  For the report
+    (``limit`` rows) they are needed for the selected rows only: the risk
+    rank is computed on the lowest-score rows (every borrower with a strictly
+    lower score than a selected one is selected too, so the rank over the
+    selection is the global rank), and exposure rank and decile of those rows
+    come from one counting pass over all borrowers (``rank_selected``).  For
+    every borrower (``limit=None``) or a very large limit, the distributed
+    ``global_rank`` computes both orderings.  Ties are broken by customer_id
+    (for the limit and for NTILE); nothing runs in a single-partition window
+    over borrowers.
     """
     per_customer = customer_exposure(loans, customers)
-    ranked = global_rank(per_customer, [("total_exposure", False)], ["customer_id"],
-                         rank_col="exposure_rank", ntile=tiles, ntile_col="exposure_decile",
-                         num_partitions=num_partitions)
-    if limit is None:
-        ranked = global_rank(ranked, [("credit_score", True)], ["customer_id"], rank_col="risk_rank",
+    if limit is None or limit > SELECTED_MAX:
+        ranked = global_rank(per_customer, [("total_exposure", False)], ["customer_id"],
+                             rank_col="exposure_rank", ntile=tiles, ntile_col="exposure_decile",
                              num_partitions=num_partitions)
+        if limit is None:
+            ranked = global_rank(ranked, [("credit_score", True)], ["customer_id"],
+                                 rank_col="risk_rank", num_partitions=num_partitions)
+        else:
+            ranked = _risk_rank_of_head(top_k(ranked, limit, [("credit_score", True)], ["customer_id"]))
     else:
-        head = top_k(ranked, limit, [("credit_score", True)], ["customer_id"])
-        w = Window.orderBy(*order_exprs([("credit_score", True)]))
-        ranked = head.withColumn("risk_rank", F.rank().over(w).cast("long"))
+        # the per-borrower table is read twice (top-k, counting pass): write it once
+        per_customer = materialize(per_customer, "customer-exposure")
+        head = _risk_rank_of_head(top_k(per_customer, limit, [("credit_score", True)], ["customer_id"]))
+        ranked = rank_selected(per_customer, head, [("total_exposure", False)], ["customer_id"],
+                               rank_col="exposure_rank", ntile=tiles, ntile_col="exposure_decile")
     out = ranked.select("customer_id", "total_exposure", "credit_score", "default_count", "dpd_avg",
                         "exposure_rank", "risk_rank", "exposure_decile")
     if limit is None:  # every borrower: a distributed sort

@@ -73,3 +73,21 @@ def test_one_key_across_all_partitions(spark, parts):
                     F.ntile(7).over(Window.orderBy(okey, "id")).cast("long").alias("t"))
     assert {tuple(r) for r in got.select("id", "r", "rn", "t").collect()} == \
         {tuple(r) for r in exp.collect()}
+
+
+@pytest.mark.parametrize("ascending", [True, False])
+def test_rank_selected_matches_builtin(spark, ascending):
+    from riskloom.operators.ranking import rank_selected
+
+    df = _data(spark, n=1500, seed=3)
+    okey = F.col("v").asc_nulls_first() if ascending else F.col("v").desc_nulls_last()
+    exp = df.select("id", F.rank().over(Window.orderBy(okey)).cast("long").alias("r"),
+                    F.ntile(10).over(Window.orderBy(okey, "id")).cast("long").alias("t"))
+    # a selection with hot-key rows, NULL-key rows and ordinary rows
+    selected = df.where("id < 'id00060'")
+    got = rank_selected(df, selected, [("v", ascending)], ["id"], rank_col="r", ntile=10, ntile_col="t")
+    assert got.columns == df.columns + ["r", "t"]
+    want = {r.id: (r.r, r.t) for r in exp.collect() if r.id < "id00060"}
+    assert {r.id: (r.r, r.t) for r in got.collect()} == want
+    assert sorted(tuple(r) for r in got.select(*df.columns).collect()) == \
+        sorted(tuple(r) for r in selected.collect())
