@@ -191,19 +191,28 @@ def _ntile(r0, total, n: int):
 SELECTED_MAX = 1024  # above this many selected rows, use global_rank instead
 
 
-def _before(col: str, ascending: bool, value) -> "F.Column":
-    """Rows whose ``col`` sorts strictly before ``value`` (SQL null placement:
-    ASC nulls first, DESC nulls last)."""
-    c = F.col(col)
+def _sql_lit(value, dtype: T.DataType) -> str:
+    """An exact SQL literal of ``value`` typed as ``dtype``."""
+    t = dtype.simpleString()
     if value is None:
-        return c.isNotNull() if not ascending else F.lit(False)
+        return f"CAST(NULL AS {t})"
+    if isinstance(value, bool):
+        return "TRUE" if value else "FALSE"
+    if isinstance(value, int):
+        return f"CAST({value} AS {t})"
+    text = repr(value) if isinstance(value, float) else str(value)  # repr round-trips
+    quoted = "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return quoted if isinstance(value, str) else f"CAST({quoted} AS {t})"
+
+
+def _before_sql(col: str, ascending: bool, lit: str, is_null: bool) -> str:
+    """``col`` sorts strictly before the literal (ASC nulls first, DESC nulls last)."""
+    c = f"`{col}`"
+    if is_null:
+        return "FALSE" if ascending else f"({c} IS NOT NULL)"
     if ascending:
-        return c.isNull() | (c < F.lit(value))
-    return c > F.lit(value)
-
-
-def _equal(col: str, value) -> "F.Column":
-    return F.col(col).eqNullSafe(F.lit(value))
+        return f"({c} IS NULL OR {c} < {lit})"
+    return f"({c} > {lit})"
 
 
 def rank_selected(population: DataFrame, selected: DataFrame, order: Sequence[tuple[str, bool]],
@@ -220,34 +229,35 @@ def rank_selected(population: DataFrame, selected: DataFrame, order: Sequence[tu
     pairing of rows.  The selected rows themselves — k rows, bounded by the
     caller's limit — are read once and returned with their ranks attached.
     ``population`` should be materialised (it is scanned once more here).
+    The predicates are written as SQL expression text (one call per
+    aggregate) with exact literals.
     """
     head = selected.collect()
     if len(head) > SELECTED_MAX:
         raise ValueError(f"{len(head)} selected rows; use global_rank for more than {SELECTED_MAX}")
     fields = selected.schema.fields
+    types = {f.name: f.dataType for f in fields}
     extra_fields = [T.StructField(rank_col, T.LongType())]
     if ntile:
         extra_fields.append(T.StructField(ntile_col, T.LongType()))
     if not head:
         return population.sparkSession.createDataFrame([], T.StructType(fields + extra_fields))
     aggs = [F.count(F.lit(1)).alias("_n")]
+    structs = []
     for i, row in enumerate(head):
-        strictly, prefix_equal = F.lit(False), F.lit(True)
-        for col, ascending in order:
-            strictly = strictly | (prefix_equal & _before(col, ascending, row[col]))
-            prefix_equal = prefix_equal & _equal(col, row[col])
-        aggs.append(F.count_if(strictly).alias(f"_r{i}"))
-        for col in tiebreak:
-            strictly = strictly | (prefix_equal & _before(col, True, row[col]))
-            prefix_equal = prefix_equal & _equal(col, row[col])
-        aggs.append(F.count_if(strictly).alias(f"_p{i}"))
+        strictly, prefix_equal = [], []
+        for col, ascending in list(order) + [(c, True) for c in tiebreak]:
+            lit = _sql_lit(row[col], types[col])
+            term = _before_sql(col, ascending, lit, row[col] is None)
+            strictly.append(" AND ".join(prefix_equal + [term]))
+            prefix_equal.append(f"(`{col}` <=> {lit})")
+            if len(strictly) == len(order):  # rank: the key columns only
+                aggs.append(F.expr(f"count_if({' OR '.join(f'({t})' for t in strictly)})").alias(f"_r{i}"))
+        aggs.append(F.expr(f"count_if({' OR '.join(f'({t})' for t in strictly)})").alias(f"_p{i}"))
+        values = ", ".join(f"'{f.name}', {_sql_lit(row[f.name], f.dataType)}" for f in fields)
+        structs.append(f"named_struct({values}, '_rank', _r{i} + 1, '_pos', _p{i})")
     counts = population.agg(*aggs)
-    entries = F.array(*[
-        F.struct(*[F.lit(row[f.name]).cast(f.dataType).alias(f.name) for f in fields],
-                 (F.col(f"_r{i}") + 1).alias("_rank"), F.col(f"_p{i}").alias("_pos"))
-        for i, row in enumerate(head)
-    ])
-    per_row = counts.select("_n", F.inline(entries))
+    per_row = counts.select("_n", F.expr(f"inline(array({', '.join(structs)}))"))
     extra = [F.col("_rank").cast("long").alias(rank_col)]
     if ntile:
         extra.append(_ntile(F.col("_pos"), F.col("_n"), ntile).alias(ntile_col))

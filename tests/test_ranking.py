@@ -91,3 +91,19 @@ def test_rank_selected_matches_builtin(spark, ascending):
     assert {r.id: (r.r, r.t) for r in got.collect()} == want
     assert sorted(tuple(r) for r in got.select(*df.columns).collect()) == \
         sorted(tuple(r) for r in selected.collect())
+
+
+def test_sql_literals_round_trip(spark):
+    import datetime
+    import decimal
+
+    from pyspark.sql import types as T
+
+    from riskloom.operators.ranking import _sql_lit
+
+    cases = [("it's a \\ path", T.StringType()), ("₹ x", T.StringType()), (0.1 + 0.2, T.DoubleType()),
+             (1e300, T.DoubleType()), (-5e-324, T.DoubleType()), (2 ** 62, T.LongType()),
+             (-7, T.IntegerType()), (decimal.Decimal("12345.67"), T.DecimalType(18, 2)),
+             (datetime.date(2021, 3, 4), T.DateType()), (None, T.StringType()), (True, T.BooleanType())]
+    row = spark.range(1).select(*[F.expr(_sql_lit(v, t)).alias(f"c{i}") for i, (v, t) in enumerate(cases)]).first()
+    assert list(row) == [v for v, _ in cases]
