@@ -35,23 +35,34 @@ def land(domain: Domain, root: str) -> dict[str, str]:
 
 
 def build_lake(spark: SparkSession, landing_paths: dict[str, str], root: str,
-               database: str) -> Domain:
-    """Typed landing reads -> columnar tables in ``database``; returns them."""
+               database: str, buckets: int | None = None) -> Domain:
+    """Typed landing reads -> columnar tables in ``database``; returns them.
+
+    With ``buckets``, customers and loans are also hash-bucketed on
+    customer_id (loans still partitioned by year), so the per-customer
+    aggregations and the loan-customer joins of the reports run without
+    shuffling either table.
+    """
     warehouse.create_database(spark, database, "Loan-portfolio risk tables", f"{root}/{database}.db")
     part = S.PARTITION_COLUMN
 
     cust_path = f"{root}/tables/customer_profiles"
-    warehouse.write_table_files(landing.read_landing(spark, landing_paths["customer_profiles"],
-                                                     "customer_profiles"), cust_path)
-    warehouse.register_table(spark, f"{database}.customer_profiles", cust_path,
-                             warehouse.schema_ddl("customer_profiles"))
-
+    customers = landing.read_landing(spark, landing_paths["customer_profiles"], "customer_profiles")
     loan_path = f"{root}/tables/loan_applications"
     loans_csv = landing.read_landing(spark, landing_paths["loan_applications"], "loan_applications")
-    warehouse.write_table_files(loans_csv, loan_path, partition_by=[part])
-    warehouse.register_table(spark, f"{database}.loan_applications", loan_path,
-                             warehouse.schema_ddl("loan_applications"), partition_by=[part])
-    warehouse.recover_partitions(spark, f"{database}.loan_applications")
+    if buckets:
+        warehouse.save_bucketed_table(customers, f"{database}.customer_profiles", cust_path,
+                                      buckets, ["customer_id"])
+        warehouse.save_bucketed_table(loans_csv, f"{database}.loan_applications", loan_path,
+                                      buckets, ["customer_id"], partition_by=[part])
+    else:
+        warehouse.write_table_files(customers, cust_path)
+        warehouse.register_table(spark, f"{database}.customer_profiles", cust_path,
+                                 warehouse.schema_ddl("customer_profiles"))
+        warehouse.write_table_files(loans_csv, loan_path, partition_by=[part])
+        warehouse.register_table(spark, f"{database}.loan_applications", loan_path,
+                                 warehouse.schema_ddl("loan_applications"), partition_by=[part])
+        warehouse.recover_partitions(spark, f"{database}.loan_applications")
 
     # the raw landing table: header line skipped and checked against the schema
     warehouse.register_table(spark, f"{database}.transactions_raw", landing_paths["transactions"],
