@@ -134,3 +134,14 @@ def test_bucketed_lake_joins_without_shuffling_the_tables(spark):
             assert _rows(df) == _rows(report(dom))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+
+
+def test_report_runner_writes_one_folder_per_report(spark):
+    from riskloom.__main__ import main
+
+    out = tempfile.mkdtemp(prefix="riskloom-run-") + "/reports"
+    assert main(["--sf-dir", SF001, "--out", out, "--reports", "kri_master,dpd_buckets"]) == 0
+    assert sorted(os.listdir(out)) == ["dpd_buckets", "kri_master"]
+    back = spark.read.option("header", True).csv(f"{out}/kri_master")
+    assert back.count() == 6 and back.columns == ["kri_name", "kri_value", "unit"]
+    assert main(["--sf-dir", SF001, "--out", out, "--reports", "no_such_report"]) == 2
