@@ -39,9 +39,9 @@ def build_lake(spark: SparkSession, landing_paths: dict[str, str], root: str,
     """Typed landing reads -> columnar tables in ``database``; returns them.
 
     With ``buckets``, customers and loans are also hash-bucketed on
-    customer_id (loans still partitioned by year), so the per-customer
-    aggregations and the loan-customer joins of the reports run without
-    shuffling either table.
+    customer_id (loans still partitioned by year) and transactions on
+    loan_id, so the per-customer aggregations, the loan-customer joins and
+    the per-loan AML aggregations run without shuffling these tables.
     """
     warehouse.create_database(spark, database, "Loan-portfolio risk tables", f"{root}/{database}.db")
     part = S.PARTITION_COLUMN
@@ -69,7 +69,7 @@ def build_lake(spark: SparkSession, landing_paths: dict[str, str], root: str,
                              warehouse.schema_ddl("transactions"), fmt="csv",
                              options={"header": "true", "enforceSchema": "false"})
     warehouse.ctas(spark, f"{database}.transactions", f"{database}.transactions_raw",
-                   f"{root}/tables/transactions")
+                   f"{root}/tables/transactions", buckets=buckets, bucket_by=["loan_id"])
 
     return Domain(
         customers=conform(spark.table(f"{database}.customer_profiles"), "customer_profiles"),

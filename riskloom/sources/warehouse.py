@@ -82,10 +82,16 @@ def recover_partitions(spark: SparkSession, name: str) -> None:
 
 
 def ctas(spark: SparkSession, target: str, source: str, path: str, fmt: str = "orc",
-         compression: str = "snappy") -> DataFrame:
-    """CREATE TABLE ... USING fmt AS SELECT * FROM source (a distributed copy)."""
+         compression: str = "snappy", buckets: int | None = None,
+         bucket_by: Sequence[str] = ()) -> DataFrame:
+    """CREATE TABLE ... USING fmt AS SELECT * FROM source (a distributed copy),
+    optionally hash-bucketed and sorted on ``bucket_by``."""
+    clustered = ""
+    if buckets and bucket_by:
+        cols = ", ".join(f"`{c}`" for c in bucket_by)
+        clustered = f" CLUSTERED BY ({cols}) SORTED BY ({cols}) INTO {buckets} BUCKETS"
     spark.sql(f"CREATE TABLE IF NOT EXISTS {_q(target)} USING {fmt} "
-              f"OPTIONS ('compression' '{compression}') LOCATION '{path}' "
+              f"OPTIONS ('compression' '{compression}'){clustered} LOCATION '{path}' "
               f"AS SELECT * FROM {_q(source)}")
     return spark.table(target)
 

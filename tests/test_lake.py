@@ -132,6 +132,14 @@ def test_bucketed_lake_joins_without_shuffling_the_tables(spark):
             plan = df._jdf.queryExecution().executedPlan().toString()
             assert "hashpartitioning(customer_id" not in plan, plan
             assert _rows(df) == _rows(report(dom))
+        from riskloom.plans import aml
+
+        for report in (lambda d: aml.aml_reversals(d.txns),
+                       lambda d: aml.aml_structuring_txn_only(d.txns)):
+            df = report(back)
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            assert "hashpartitioning(loan_id" not in plan, plan
+            assert _rows(df) == _rows(report(dom))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
 
