@@ -188,7 +188,7 @@ def _ntile(r0, total, n: int):
 
 # --- ranks of a few selected rows --------------------------------------------
 
-SELECTED_MAX = 1024  # above this many selected rows, use global_rank instead
+SELECTED_MAX = 256  # above this many selected rows (2k+1 aggregates), use global_rank
 
 
 def _sql_lit(value, dtype: T.DataType) -> str:
