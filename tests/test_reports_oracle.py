@@ -92,3 +92,23 @@ def test_ranking_plan_has_no_unaggregated_single_partition(spark):
             if re.match(r"(HashAggregate|SortAggregate|TakeOrderedAndProject)", op):
                 break
             assert not op.startswith(("FileScan", "Scan")), sub[:400]
+
+
+def test_ranking_with_a_large_limit_uses_the_distributed_path(spark, duck01):
+    """limit > SELECTED_MAX: exposure ranks from global_rank, then the top-k."""
+    from conftest import SF01
+    from riskloom.oracle.compare import rows_hash
+    from riskloom.operators.ranking import SELECTED_MAX
+    from riskloom.oracle import SQL
+    from riskloom.plans import trends
+    from riskloom.sources.tables import load_domain
+
+    limit = SELECTED_MAX + 44
+    d = load_domain(spark, SF01)
+    df = trends.customer_risk_ranking(d.loans, d.customers, limit=limit)
+    srows = [tuple(r) for r in df.collect()]
+    sql = SQL["customer_risk_ranking"].replace("LIMIT 100", f"LIMIT {limit}")
+    cur = duck01.execute(sql)
+    drows = [tuple(r) for r in cur.fetchall()]
+    assert len(srows) == len(drows) == limit
+    assert rows_hash(df.columns, srows) == rows_hash([c[0] for c in cur.description], drows)
