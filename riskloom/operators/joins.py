@@ -40,8 +40,8 @@ def _row_bytes(schema: T.StructType) -> int:
 
 
 def broadcast_budget(df: DataFrame) -> int:
-    """Bytes a broadcast may take: the session's broadcast threshold, or 8 MiB
-    when automatic broadcasting is switched off."""
+    """Bytes a broadcast may take: the session's broadcast threshold (0 when
+    the session switched broadcasting off with a negative threshold)."""
     raw = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
     raw = raw.strip().lower().rstrip("b")
     mult = 1
@@ -52,7 +52,7 @@ def broadcast_budget(df: DataFrame) -> int:
         value = int(float(raw) * mult)
     except ValueError:
         value = 10 << 20
-    return value if value > 0 else 8 << 20
+    return max(value, 0)
 
 
 def checked_broadcast(small: DataFrame, max_rows: int = DEFAULT_MAX_ROWS,
