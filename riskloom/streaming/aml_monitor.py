@@ -18,6 +18,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from riskloom.functions import avg_money, cents, off_hours_list, pct
@@ -26,10 +27,12 @@ from riskloom.sources.tables import transactions
 
 
 def transaction_stream(spark: SparkSession, lineitem_dir: str,
-                       max_files_per_trigger: int | None = None) -> DataFrame:
+                       max_files_per_trigger: int | None = None,
+                       schema: T.StructType | None = None) -> DataFrame:
     """Streaming source over a folder of lineitem-shaped parquet files,
-    derived to the transactions table."""
-    schema = spark.read.parquet(lineitem_dir).schema
+    derived to the transactions table.  ``schema`` is needed when the folder
+    is still empty; otherwise it is read from the files present."""
+    schema = schema or spark.read.parquet(lineitem_dir).schema
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -67,9 +70,12 @@ def off_hours_running(txns: DataFrame) -> DataFrame:
 
 
 def start(report: DataFrame, name: str, checkpoint_location: str | None = None,
-          sink: str = "memory", available_now: bool = True) -> StreamingQuery:
+          sink: str = "memory", available_now: bool = True,
+          interval: str | None = None) -> StreamingQuery:
     """Start a running report.  ``complete`` output mode re-emits the (small,
-    bounded) result table on every trigger."""
+    bounded) result table on every trigger.  ``available_now`` processes what
+    has landed and stops; otherwise ``interval`` (e.g. "1 minute") sets a
+    processing-time trigger for continuous monitoring."""
     spark = report.sparkSession
     location = checkpoint_location or scratch_path(spark, f"stream-{name}-{uuid.uuid4().hex[:8]}")
     writer = (report.writeStream.outputMode("complete").format(sink)
@@ -78,4 +84,6 @@ def start(report: DataFrame, name: str, checkpoint_location: str | None = None,
         writer = writer.queryName(name)
     if available_now:
         writer = writer.trigger(availableNow=True)
+    elif interval:
+        writer = writer.trigger(processingTime=interval)
     return writer.start()
