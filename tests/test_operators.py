@@ -62,3 +62,20 @@ def test_hot_key_is_pre_aggregated(spark):
     hot = dom.txns.withColumn("loan_id", F.when(F.rand(7) < 0.34, F.lit("HOT")).otherwise(F.col("loan_id")))
     plan = _plan(aml.aml_reversals(hot))
     assert "partial_count" in plan and "partial_sum" in plan
+
+
+def test_sizing_helpers(spark):
+    from riskloom.operators.joins import broadcast_budget
+    from riskloom.session import partitions_for
+
+    assert partitions_for(0) == 8
+    assert partitions_for(100 * (1 << 40)) == 1 << 19  # 100 TiB at 200 MiB per partition
+    df = spark.range(1)
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        for value, expected in [("10485760b", 10 << 20), ("10m", 10 << 20), ("1g", 1 << 30),
+                                ("-1", 0), ("2048", 2048)]:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", value)
+            assert broadcast_budget(df) == expected, value
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
