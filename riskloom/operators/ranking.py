@@ -126,7 +126,9 @@ def global_rank(df: DataFrame, order: Sequence[tuple[str, bool]], tiebreak: Sequ
     ``order``: ``[(column, ascending), ...]`` — the ranking key.
     ``tiebreak``: extra ascending columns making the order total; they decide
     ROW_NUMBER and NTILE among rank ties and split hot key values across
-    partitions.  RANK depends on ``order`` only.
+    partitions.  RANK depends on ``order`` only.  Make the tie-breaker unique
+    (an id): rows equal in key *and* tie-breaker cannot be split across range
+    partitions, and their relative ROW_NUMBER is arbitrary.
     """
     spark = df.sparkSession
     n = num_partitions or shuffle_partitions(spark)
