@@ -37,8 +37,9 @@ def aml_structuring(txns: DataFrame, loans: DataFrame, customers: DataFrame,
 
     The flagged aggregate is normally tiny while loans and customers are the
     largest dimensions, so it is materialised and, if its checked size allows,
-    broadcast: loans and customers are then streamed through hash joins
-    without being shuffled.  Beyond the limit both joins shuffle as usual.
+    broadcast; the same check applies to its join with loans.  Loans and
+    customers are then streamed through hash joins without being shuffled.
+    Beyond the limits the joins shuffle as usual.
     """
     per_month = _suspicious_cash(txns, min_amount).groupBy("loan_id", "transaction_month").agg(
         F.count("*").alias("n"),
@@ -47,8 +48,10 @@ def aml_structuring(txns: DataFrame, loans: DataFrame, customers: DataFrame,
     )
     per_month, small = checked_broadcast(per_month)
     with_loan = per_month.join(loans.select("loan_id", "customer_id"), "loan_id", "inner")
-    if small:  # at most one row per flagged row and matching loan copy: still small
-        with_loan = F.broadcast(with_loan)
+    if small:
+        # one row per flagged row and loan copy: small unless loan ids repeat,
+        # so its size is checked as well before it is broadcast
+        with_loan, _ = checked_broadcast(with_loan)
     joined = with_loan.join(customers.select("customer_id", "state", "segment"), "customer_id", "inner")
     agg = joined.groupBy("loan_id", "customer_id", "state", "segment").agg(
         F.sum("n").alias("suspicious_txn_count"),
