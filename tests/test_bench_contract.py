@@ -1,0 +1,21 @@
+"""bench.py prints exactly one JSON line with the fields the driver reads."""
+
+import json
+import os
+import subprocess
+import sys
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
+
+def test_bench_prints_one_json_line():
+    env = dict(os.environ, BENCH_SF_DIR="/root/testdata/sf0.001", BENCH_CPUS="2", BENCH_REPEAT="1",
+               BENCH_QUERIES="gross_npa_rate,kri_master", BENCH_DRIVER_MEMORY="2g")
+    out = subprocess.run([sys.executable, os.path.join(ROOT, "bench.py")], capture_output=True,
+                         text=True, timeout=600, env=env)
+    lines = [line for line in out.stdout.splitlines() if line.strip()]
+    assert len(lines) == 1, out.stdout[-2000:] + out.stderr[-2000:]
+    rec = json.loads(lines[0])
+    assert rec["unit"] == "sec" and rec["sf"] == 0.001 and rec["metric"]
+    assert set(rec["queries"]) == {"gross_npa_rate", "kri_master"}
+    assert abs(rec["value"] - sum(rec["queries"].values())) < 0.01
