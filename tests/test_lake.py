@@ -153,3 +153,15 @@ def test_report_runner_writes_one_folder_per_report(spark):
     back = spark.read.option("header", True).csv(f"{out}/kri_master")
     assert back.count() == 6 and back.columns == ["kri_name", "kri_value", "unit"]
     assert main(["--sf-dir", SF001, "--out", out, "--reports", "no_such_report"]) == 2
+
+
+def test_partitions_visible_only_after_recovery(spark, built):
+    """A partitioned external table over existing year directories shows no
+    rows until its partitions are registered (MSCK REPAIR TABLE)."""
+    _, back, db, root, _ = built
+    name = f"{db}.loans_unrepaired"
+    warehouse.register_table(spark, name, f"{root}/tables/loan_applications",
+                             warehouse.schema_ddl("loan_applications"), partition_by=[S.PARTITION_COLUMN])
+    assert spark.table(name).count() == 0
+    warehouse.recover_partitions(spark, name)
+    assert spark.table(name).count() == back.loans.count() > 0
