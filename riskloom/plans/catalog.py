@@ -170,3 +170,22 @@ def _lake(spark, sf_dir: str):
     from riskloom.sources.tables import load_domain
 
     return lake.loan_lake_roundtrip(spark, load_domain(spark, sf_dir))
+
+
+# --- streaming ------------------------------------------------------------------
+
+
+@register_raw("channel_risk_streaming")  # HQ-12 maintained by a streaming query
+def _hq12_stream(spark, sf_dir: str):
+    from riskloom.streaming import aml_monitor
+
+    stream = aml_monitor.transaction_stream(spark, sf_dir, file_glob="lineitem.parquet")
+    return aml_monitor.run_available(aml_monitor.channel_risk_running(stream), "channel_risk_streaming")
+
+
+@register_raw("aml_off_hours_streaming")  # HQ-10 maintained by a streaming query
+def _hq10_stream(spark, sf_dir: str):
+    from riskloom.streaming import aml_monitor
+
+    stream = aml_monitor.transaction_stream(spark, sf_dir, file_glob="lineitem.parquet")
+    return aml_monitor.run_available(aml_monitor.off_hours_running(stream), "aml_off_hours_streaming")

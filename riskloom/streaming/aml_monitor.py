@@ -28,14 +28,22 @@ from riskloom.sources.tables import transactions
 
 def transaction_stream(spark: SparkSession, lineitem_dir: str,
                        max_files_per_trigger: int | None = None,
-                       schema: T.StructType | None = None) -> DataFrame:
+                       schema: T.StructType | None = None,
+                       file_glob: str | None = None) -> DataFrame:
     """Streaming source over a folder of lineitem-shaped parquet files,
     derived to the transactions table.  ``schema`` is needed when the folder
-    is still empty; otherwise it is read from the files present."""
-    schema = schema or spark.read.parquet(lineitem_dir).schema
+    is still empty; otherwise it is read from the files present.
+    ``file_glob`` restricts the files taken from the folder."""
+    if schema is None:
+        probe = spark.read
+        if file_glob:
+            probe = probe.option("pathGlobFilter", file_glob)
+        schema = probe.parquet(lineitem_dir).schema
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    if file_glob:
+        reader = reader.option("pathGlobFilter", file_glob)
     return transactions(reader.parquet(lineitem_dir))
 
 
@@ -87,3 +95,11 @@ def start(report: DataFrame, name: str, checkpoint_location: str | None = None,
     elif interval:
         writer = writer.trigger(processingTime=interval)
     return writer.start()
+
+
+def run_available(report: DataFrame, name: str) -> DataFrame:
+    """Run a running report over everything that has landed, wait for it,
+    and return its result table (bounded: one row per key of the report)."""
+    query_name = f"{name}_{uuid.uuid4().hex[:8]}"
+    start(report, query_name).awaitTermination()
+    return report.sparkSession.table(query_name)
