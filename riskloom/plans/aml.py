@@ -53,6 +53,10 @@ def aml_structuring(txns: DataFrame, loans: DataFrame, customers: DataFrame,
         # so its size is checked as well before it is broadcast
         with_loan, _ = checked_broadcast(with_loan)
     joined = with_loan.join(customers.select("customer_id", "state", "segment"), "customer_id", "inner")
+    if small:
+        # the streamed customer side leaves the (checked-small) rows unclustered:
+        # one exchange on loan_id serves both phases of the distinct aggregation
+        joined = joined.repartition("loan_id")
     agg = joined.groupBy("loan_id", "customer_id", "state", "segment").agg(
         F.sum("n").alias("suspicious_txn_count"),
         money(F.sum("amt")).alias("total_suspicious_amount"),
