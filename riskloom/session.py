@@ -8,10 +8,10 @@ session has none.
 
 from __future__ import annotations
 
-import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the reports are designed around.  All are Spark defaults in 4.x
 # except the session time zone; they are applied by ``build_session`` only.
@@ -72,47 +72,67 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     return d or spark.conf.get("spark.checkpoint.dir", None)
 
 
+def _is_local(spark: SparkSession) -> bool:
+    return spark.sparkContext.master.split("[")[0] == "local"
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the session's checkpoint dir; only when unset (tests, local runs)
-    create a local one."""
+    """The session's checkpoint dir.  Where it is unset, a ``local`` master
+    (tests, single-machine runs) gets a temporary folder; on a cluster that
+    would scatter the files over the executors' own disks, so it is an error."""
     d = checkpoint_dir(spark)
     if not d:
+        if not _is_local(spark):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="riskloom-ckpt-")
-    try:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(d)
-        return spark.sparkContext.getCheckpointDir() or d
-    except Exception:
-        return d
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(d)
+    return spark.sparkContext.getCheckpointDir() or d
+
+
+# Intermediate tables written by this process and not yet deleted.
+_SCRATCH: set[str] = set()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path for intermediate tables under the shared checkpoint folder."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}-{os.getpid()}"
+    """A new path for an intermediate table under the shared checkpoint folder;
+    it lives until ``drop_scratch`` or ``release_scratch``."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.add(path)
+    return path
+
 
+def drop_scratch(spark: SparkSession, *paths: str) -> None:
+    """Delete intermediate tables that no later frame reads."""
+    for path in paths:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+        _SCRATCH.discard(path)
 
-def materialize(df, name: str, count: bool = False):
-    """Write ``df`` once as a parquet table under the shared checkpoint folder
-    and return a DataFrame reading it back (and, with ``count=True``, the
-    number of rows written, observed during the write itself).
+
+def release_scratch(spark: SparkSession) -> None:
+    """Delete every intermediate table of this process: call it once the
+    frames returned by the reports are written or no longer needed."""
+    drop_scratch(spark, *list(_SCRATCH))
+
+
+def save_scratch(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """Write ``df`` once as a parquet table under the shared checkpoint folder;
+    return a frame reading it back, and its path.
 
     This cuts the lineage like ``checkpoint()`` but computes the input only
     once (an eager RDD checkpoint runs its input twice unless it is cached),
     and the files survive the loss of any executor.
     """
-    import uuid
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
 
-    from pyspark.sql import Observation
-    from pyspark.sql import functions as F
 
-    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex[:12]}")
-    if count:
-        obs = Observation(f"rows-{uuid.uuid4().hex[:8]}")
-        df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
-        return df.sparkSession.read.parquet(path), int(obs.get["rows"])
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """``save_scratch`` without the path."""
+    return save_scratch(df, name)[0]
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
