@@ -5,9 +5,9 @@ Every source gets a word budget: a weight share of all words, at most
 among the sources still below their caps.  A budget of ``e`` full passes and
 a rest takes every document ``e`` times; the rest goes to the documents with
 the smallest exponential keys ``-ln(u) / quality``, taken in key order while
-the running word count stays within the rest.  The document in which the rest
-ends is taken whole if at least half of it still fits, so a source misses its
-budget by at most half of one document.
+the running word count stays within the rest.  Documents are taken whole: where the
+next one does not fit, the words still missing are a new budget for the documents that
+are small enough for it, in key order again, for up to ``max_rounds`` rounds.
 
 Nothing is ordered in one task: documents are range-partitioned by
 (source, key), each partition adds up its words per source, and a row's
@@ -23,6 +23,8 @@ have any name.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -81,7 +83,7 @@ def source_targets(sized: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         quality: Column | None = None, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.0,
-        cap: float = 3.0, seed: int = 17) -> DataFrame:
+        cap: float = 3.0, seed: int = 17, max_rounds: int = 4) -> DataFrame:
     """doc_id, source, size, source_size, target, key, copies, taken: how often the mix
     takes each document, and the words that makes.  ``quality`` (default:
     ``plain_share``) weighs documents within a source; it must be positive."""
@@ -91,27 +93,48 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         F.col(id_col).alias("doc_id"), F.col(source_col).alias("src"), word_count(F.col(text_col)).alias("size"),
         (-F.log(uniform(F.col(id_col), seed)) / quality).alias("key"))
     # The texts are read once; every later pass reads these narrow rows.
-    sized, sized_path = save_scratch(sized, "mix-sizes")
+    sized, _ = save_scratch(sized, "mix-sizes")
     targets = save_scratch(source_targets(sized, weights, share, cap), "mix-targets")[0]
-    order = ["key", "doc_id", "size"]
-    placed, placed_path = save_scratch(
-        sized.repartitionByRange(shuffle_partitions(spark), F.col("src").asc_nulls_last(), *order)
-        .withColumn("part", F.spark_partition_id()), "mix-order")
-    parts = placed.groupBy("src", "part").agg(F.sum("size").alias("words"))
-    earlier = Window.partitionBy("src").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = (parts.withColumn("offset", F.coalesce(F.sum("words").over(earlier), F.lit(0)))
-             .select("src", "part", "offset")
-             .join(targets.withColumnRenamed("src", "s"), F.col("src").eqNullSafe(F.col("s"))).drop("s"))
-    inside = Window.partitionBy("src", "part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    rows = placed.withColumn("inside", F.coalesce(F.sum("size").over(inside), F.lit(0)))
-    p = parts.select(F.col("src").alias("s"), F.col("part").alias("p"), "offset", "source_size", "target")
-    rows = rows.join(p, F.col("src").eqNullSafe(F.col("s")) & (F.col("part") == F.col("p")))
+    placed = sized.repartitionByRange(shuffle_partitions(spark), F.col("src").asc_nulls_last(), *_ORDER) \
+        .withColumn("part", F.spark_partition_id())
     full = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
-    rest = F.col("target") - full * F.col("source_size")
-    fits = (rest > 0) & (F.col("offset") + F.col("inside") + F.col("size") / 2 <= rest)
-    copies = (full + fits.cast("int")).cast("int")
-    return rows.select("doc_id", F.col("src").alias("source"), "size", "source_size", "target", "key",
-                       copies.alias("copies"), (F.col("size") * copies).alias("taken"))
+    budgets = targets.select(F.col("src").alias("s"), "source_size", "target", full.cast("int").alias("full"),
+                             (F.col("target") - full * F.col("source_size")).alias("left"))
+    rows = placed.join(budgets, F.col("src").eqNullSafe(F.col("s"))).drop("s")
+    rows, _ = save_scratch(rows, "mix-order")
+    decided = []
+    for _ in range(max_rounds):
+        marked, _ = save_scratch(_fitting(rows), "mix-round")
+        decided.append(marked.filter("fits").withColumn("extra", F.lit(1)))
+        used = marked.filter("fits").groupBy(F.col("src").alias("s")).agg(F.sum("size").alias("used"))
+        rows = marked.filter("not fits").join(used, F.col("src").eqNullSafe(F.col("s")), "left").drop("s", "fits") \
+            .withColumn("left", F.col("left") - F.coalesce("used", F.lit(0))).drop("used")
+        decided.append(rows.filter("size > left").withColumn("extra", F.lit(0)))
+        rows = rows.filter("size <= left")
+        if rows.isEmpty():
+            break
+    else:
+        decided.append(rows.withColumn("extra", F.lit(0)))
+    columns = ("doc_id", "src", "size", "source_size", "target", "key", "full", "extra")
+    out = reduce(DataFrame.union, [d.select(*columns) for d in decided])
+    copies = F.col("full") + F.col("extra")
+    return out.select("doc_id", F.col("src").alias("source"), "size", "source_size", "target", "key",
+                      copies.alias("copies"), (F.col("size") * copies).alias("taken"))
+
+
+_ORDER = ("key", "doc_id", "size")
+
+
+def _fitting(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``fits``: whether the running word count of its source, in
+    key order, is within ``left`` up to and with this row."""
+    parts = rows.groupBy(F.col("src").alias("s"), F.col("part").alias("p")).agg(F.sum("size").alias("words"))
+    earlier = Window.partitionBy("s").orderBy("p").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select("s", "p", F.coalesce(F.sum("words").over(earlier), F.lit(0)).alias("offset"))
+    inside = Window.partitionBy("src", "part").orderBy(*_ORDER).rowsBetween(Window.unboundedPreceding, 0)
+    counted = rows.withColumn("inside", F.sum("size").over(inside))
+    joined = counted.join(parts, F.col("src").eqNullSafe(F.col("s")) & (F.col("part") == F.col("p")))
+    return joined.withColumn("fits", F.col("offset") + F.col("inside") <= F.col("left")).drop("s", "p", "offset", "inside")
 
 
 def take(docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id") -> DataFrame:
