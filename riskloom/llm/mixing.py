@@ -105,14 +105,15 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     decided = []
     for _ in range(max_rounds):
         marked, _ = save_scratch(_fitting(rows), "mix-round")
+        if decided and marked.isEmpty():
+            break
         decided.append(marked.filter("fits").withColumn("extra", F.lit(1)))
-        used = marked.filter("fits").groupBy(F.col("src").alias("s")).agg(F.sum("size").alias("used"))
+        # one row per source, of known size once written
+        used, _ = save_scratch(marked.filter("fits").groupBy(F.col("src").alias("s")).agg(F.sum("size").alias("used")), "mix-used")
         rows = marked.filter("not fits").join(used, F.col("src").eqNullSafe(F.col("s")), "left").drop("s", "fits") \
             .withColumn("left", F.col("left") - F.coalesce("used", F.lit(0))).drop("used")
         decided.append(rows.filter("size > left").withColumn("extra", F.lit(0)))
         rows = rows.filter("size <= left")
-        if rows.isEmpty():
-            break
     else:
         decided.append(rows.withColumn("extra", F.lit(0)))
     columns = ("doc_id", "src", "size", "source_size", "target", "key", "full", "extra")

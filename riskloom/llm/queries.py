@@ -1,5 +1,4 @@
-"""The operators on their whole tables, with production parameters, and DuckDB
-SQL where SQL can express the result."""
+"""The operators on their whole tables, with production parameters."""
 
 from __future__ import annotations
 
@@ -94,5 +93,3 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_line_dedup, op2_mixing, op3_wavelet_tokens, op4_simhash, op5_quality, op6_warc, op7_topk,
                             op8_url_filter, op9_licenses, op10_decontamination)}
-
-ORACLE: dict[str, str] = {}

@@ -1,0 +1,88 @@
+import math
+from collections import defaultdict
+
+from riskloom.llm import url_reputation as ur
+from riskloom.llm.queries import RULES
+
+
+def parse(url):
+    if url is None or "://" not in url:
+        return "", ""
+    rest = url.split("://", 1)[1]
+    cut = min([rest.find(c) for c in "/?#" if c in rest], default=len(rest))
+    host = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in rest[:cut])
+    path = rest[cut:]
+    return host, path[:min([path.find(c) for c in "?#" if c in path], default=len(path))]
+
+
+def rule_of(host, path):
+    fit = [r for r in RULES if (host == r.host or host.endswith("." + r.host)) and path.startswith(r.path)]
+    return max(fit, key=lambda r: len(r.name), default=None)
+
+
+def strength(members):
+    members = [(n, g) for n, g in members if n]
+    n, g = sum(m[0] for m in members), sum(m[1] for m in members)
+    if not n:
+        return 0.5, 1000.0
+    p = g / n
+    between = (sum(g * g / n for n, g in members) - g * g / n) / n - p * (1 - p) * len(members) / n
+    return p, min(1000.0, max(1.0, p * (1 - p) / between - 1)) if between > 0 else 1000.0
+
+
+def want(urls):
+    pages = [(u, *parse(u)) for u in urls]
+    counts = defaultdict(lambda: [0, 0])
+    for _, h, p in pages:
+        r = rule_of(h, p)
+        counts[h][0] += r is not None
+        counts[h][1] += r is not None and r.verdict == "allow"
+    up = lambda h, k: ".".join(h.split(".")[-k:])
+    levels = [counts]
+    for k in (2, 1):
+        level = defaultdict(lambda: [0, 0])
+        for key, (n, g) in levels[-1].items():
+            level[up(key, k)][0] += n
+            level[up(key, k)][1] += g
+        levels.append(level)
+    (p, ss), (_, ds), (_, hs) = strength(levels[2].values()), strength(levels[1].values()), strength(levels[0].values())
+    out = []
+    for _, h, path in pages:
+        mean = p
+        for level, m, k in ((levels[2], ss, 1), (levels[1], ds, 2), (levels[0], hs, 99)):
+            n, g = level[up(h, k)]
+            mean, weight = (g + m * mean) / (n + m), n + m
+        r = rule_of(h, path)
+        upper = mean + 1.64 * math.sqrt(mean * (1 - mean) / (weight + 1))
+        out.append((h, path, r.name if r else None, r.verdict if r else "block" if upper < 0.5 else "allow"))
+    return sorted(out, key=str)
+
+
+def frame(spark, urls):
+    return spark.createDataFrame([(i, u, "h", "clash", "v") for i, u in enumerate(urls)],
+                                 "page_id long, url string, html string, host string, verdict string")
+
+
+def run(spark, urls):
+    out = ur.judge(frame(spark, urls), RULES)
+    return sorted(((r.host, r.path, r.rule, r.verdict) for r in out.collect()), key=str)
+
+
+def test_urls(spark):
+    urls = ["http://A.Example.COM/en/1?x#y", "https://www.example.com/en/2", "x://www.example.com", "http://a.com?x=/en/",
+            "http://b.net/fr/", "http://b.net/de/", "http://b.net/es", "http://c.org/", "no scheme", None, "", "://", "http://",
+            "http://ÜÄ.net/es/ä", "a://b.com/://c", "http://xexample.com/en/", "http://com/", "http://b.net/es/1", "http://b.net/es/1"]
+    assert run(spark, urls) == want(urls)
+
+
+def test_reputation(spark, rng):
+    urls = [f"http://{rng.choice('abc')}.{rng.choice(['x', 'y'])}.{t}/{rng.choice(['en', 'es', 'fr', 'de'])}/{i}"
+            for i in range(400) for t in [rng.choice(["com", "net", "net", "org"])]]
+    assert run(spark, urls) == want(urls)
+    assert run(spark, ["http://a.org/1"] * 5) == want(["http://a.org/1"] * 5)
+    assert run(spark, []) == []
+
+
+def test_plan_has_no_python(spark):
+    plan = ur.judge(frame(spark, ["http://a.net/es/"]), RULES)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
