@@ -22,20 +22,23 @@ blank reaches across such a place, so each distinct stretch needs encoding only
 worker (a bounded memory of ``MEMO`` stretches).
 
 Defined cases: a null text is empty and has the end id alone; rows that tie on the id go
-by text; null ids come first; repeated rows are separate documents; an empty table gives
+by a hash of their text; null ids come first; repeated rows are separate documents; an empty table gives
 no shards.  Only the named columns are read.
 """
 
 from __future__ import annotations
 
 import re
+import string
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -46,6 +49,22 @@ SHARD_TOKENS = 1 << 20
 _MAGIC = b"WMX1"
 _RANK_STEP = 512  # bits between two stored rank counts
 _CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
+# two separators in a row or at an end, or white space that is neither blank nor newline
+_ODD = ("[ \\n][ \\n]|^[ \\n]|[ \\n]$|[\\t\\r\\x0b\\x0c\\x1c-\\x1f\\x{85}\\x{a0}\\x{1680}\\x{180e}\\x{2000}-\\x{200b}"
+        "\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}\\x{feff}]")
+_MARKS = string.punctuation
+_LETTERS = re.compile("[A-Za-zªµºÀ-ÖØ-öø-ÿ]+").fullmatch
+
+
+def _alphabet() -> dict[int, str]:
+    """The byte alphabet of byte-level tokenizers: visible Latin-1 characters stand for
+    themselves, the other bytes for U+0100 and following, in order."""
+    own = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = (b for b in range(256) if b not in own)
+    return {b: chr(256 + k) for k, b in enumerate(others)}
+
+
+_ALPHABET = _alphabet()
 _POPCOUNT = np.array([bin(i).count("1") for i in range(256)], np.int64)
 
 
@@ -80,7 +99,7 @@ class WaveletMatrix:
     def to_bytes(self) -> bytes:
         body = b"".join(p.tobytes() for p in self.planes) + b"".join(c.tobytes() for c in self.counts)
         head = _MAGIC + struct.pack("<IH", self.n, len(self.planes)) + np.array(self.zeros, "<u4").tobytes()
-        return head + zlib.compress(body, 1)
+        return head + pa.compress(body, codec="zstd", asbytes=True)
 
     @classmethod
     def from_bytes(cls, blob: bytes) -> WaveletMatrix:
@@ -88,9 +107,9 @@ class WaveletMatrix:
             raise ValueError("not a wavelet-matrix shard")
         n, width = struct.unpack_from("<IH", blob, 4)
         zeros = np.frombuffer(blob, "<u4", width, 10).tolist()
-        body = zlib.decompress(blob[10 + 4 * width:])
         size = -(-n // 8)
         marks = -(-size // (_RANK_STEP // 8)) + 1
+        body = pa.decompress(blob[10 + 4 * width:], width * (size + 4 * marks), codec="zstd", asbytes=True)
         planes = [np.frombuffer(body, np.uint8, size, i * size) for i in range(width)]
         counts = [np.frombuffer(body, "<u4", marks, width * size + 4 * marks * i) for i in range(width)]
         return cls(n, planes, zeros, counts)
@@ -177,8 +196,16 @@ class WaveletMatrix:
         return values.astype(np.uint32)
 
 
+_FIRST = "\r"  # marks a stretch at a text's start; other white space never begins a key
+
+
 class Encoder:
-    """Texts to ids with a tokenizers file, remembering stretches."""
+    """Texts to ids with a byte-level BPE tokenizers file, remembering stretches.
+
+    A text is cut before single blanks and newlines that stand between other
+    characters.  The key of a stretch is what follows its blank, or the newline
+    and what follows, or ``_FIRST`` and the text's first stretch.
+    """
 
     _made: dict[str, Encoder] = {}
 
@@ -187,6 +214,7 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self._newline = self._piece("\n")
         self._forget()
 
     @classmethod
@@ -200,55 +228,96 @@ class Encoder:
         self.known: dict[str, int] = {}
         self.ids = np.empty(1 << 16, np.uint32)
         self.ends = np.zeros(1 << 14, np.int64)  # of each known stretch in ids
+        self.pieces: dict[str, list[int]] = {}  # of endings like "." and "!!"
 
     @staticmethod
-    def stretches(text: str) -> list[str]:
-        parts = text.replace("\n", " ").split(" ")
-        if parts == text.split():  # single blanks and newlines only, none at an end
-            out, first = [], True
-            for line in text.split("\n"):
-                words = line.split(" ")
-                out.append(words[0] if first else "\n" + words[0])
-                out.extend([" " + w for w in words[1:]])
-                first = False
-            return out
-        return _CUT.split(text)
+    def keys(texts: list[str]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+        """(keys of all texts, number of keys per text, which texts): texts with
+        uncommon white space come last."""
+        column = pa.array(texts, pa.string())
+        odd = pc.match_substring_regex(column, _ODD).to_numpy(zero_copy_only=False)
+        common, rest = np.flatnonzero(~odd), np.flatnonzero(odd)
+        marked = pc.binary_join_element_wise(_FIRST, column.take(pa.array(common)), "")
+        lists = pc.split_pattern(pc.replace_substring(marked, "\n", " \n"), " ")
+        cut = [Encoder.cut(texts[i]) for i in rest]
+        sizes = np.concatenate((np.diff(lists.offsets.to_numpy()), np.fromiter(map(len, cut), np.int64, len(cut))))
+        flat = pa.concat_arrays([lists.flatten(), pa.array(list(chain.from_iterable(cut)), pa.string())])
+        return flat, sizes, np.concatenate((common, rest))
+
+    @staticmethod
+    def cut(text: str) -> list[str]:
+        """Keys of any text."""
+        out = [s[1:] if s[:1] == " " else s for s in _CUT.split(text)]
+        if text[:1] == " ":  # the first stretch keeps its blank
+            out[0] = " " + out[0]
+        out[0] = _FIRST + out[0]
+        return out
+
+    @staticmethod
+    def stretch(key: str) -> str:
+        return key[1:] if key[0] == _FIRST else key if key[0] == "\n" else " " + key
+
+    def _piece(self, piece: str) -> list[int]:
+        """Ids of one word or run of marks."""
+        in_bytes = piece if piece.isascii() and " " not in piece and "\n" not in piece else \
+            piece.encode().decode("latin-1").translate(_ALPHABET)
+        return [t.id for t in self.tokenizer.model.tokenize(in_bytes)]
+
+    def _plain(self, key: str) -> list[int] | None:
+        """Ids of a stretch that is letters and then ASCII marks, which the tokenizer
+        splits there and after a newline; None for other stretches."""
+        word = key.rstrip(_MARKS)
+        head = word[:1]
+        if not _LETTERS(word[1:] if head in (_FIRST, "\n") else word):
+            return None
+        tail = key[len(word):]
+        if tail not in self.pieces:
+            self.pieces[tail] = self._piece(tail) if tail else []
+        at = self.known.get(word) if tail else None
+        if at is not None:
+            return self.ids[self.ends[at - 1] if at else 0:self.ends[at]].tolist() + self.pieces[tail]
+        found = self._newline + self._piece(word[1:]) if head == "\n" else \
+            self._piece(word[1:] if head == _FIRST else " " + word)
+        return found + self.pieces[tail]
 
     def _learn(self, new: list[str]) -> None:
-        found = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        lists = [e.ids for e in found]
+        lists = [self._plain(k) for k in new]
+        rest = [i for i, x in enumerate(lists) if x is None]
+        found = self.tokenizer.encode_batch_fast([self.stretch(new[i]) for i in rest], add_special_tokens=False)
+        for i, e in zip(rest, found):
+            lists[i] = e.ids
         k, n = len(self.known), len(self.known) + len(new)
-        ends = np.cumsum(np.fromiter(map(len, lists), np.int64, len(lists))) + (self.ends[k - 1] if k else 0)
+        start = int(self.ends[k - 1]) if k else 0
+        ends = np.cumsum(np.fromiter(map(len, lists), np.int64, len(lists))) + start
         if n > len(self.ends):
             self.ends = np.concatenate((self.ends, np.zeros(max(n, len(self.ends)), np.int64)))
         if ends[-1] > len(self.ids):
             self.ids = np.concatenate((self.ids, np.empty(max(int(ends[-1]), len(self.ids)), np.uint32)))
-        start = int(self.ends[k - 1]) if k else 0
-        self.ids[start:int(ends[-1])] = np.concatenate([np.array(x, np.uint32) for x in lists])
+        self.ids[start:int(ends[-1])] = np.fromiter(chain.from_iterable(lists), np.uint32, int(ends[-1]) - start)
         self.ends[k:n] = ends
         self.known.update(zip(new, range(k, n)))
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts, number of ids per text)."""
-        cut = [self.stretches(t) if t else [] for t in texts]
-        sizes = np.fromiter(map(len, cut), np.int64, len(cut))
-        flat = [s for c in cut for s in c]
-        if not flat:
-            return np.empty(0, np.uint32), np.zeros(len(texts), np.int64)
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text."""
+        flat, sizes, which = self.keys(texts)
         if len(self.known) > MEMO:
             self._forget()
-        new = list(dict.fromkeys(s for s in flat if s not in self.known))
-        if new:
+        coded = flat.dictionary_encode()
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        if new := [k for k in distinct if k not in self.known]:
             self._learn(new)
-        known = self.known
-        codes = np.fromiter((known[s] for s in flat), np.int64, len(flat))
+        places = np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))
+        codes = places[coded.indices.to_numpy()]
         ends = self.ends[codes]
         starts = np.where(codes > 0, self.ends[codes - 1], 0)
         lengths = ends - starts
         before = np.concatenate(([0], np.cumsum(lengths)))
         ids = self.ids[np.arange(before[-1]) + np.repeat(starts - before[:-1], lengths)]
-        edges = np.concatenate(([0], np.cumsum(sizes)))
-        return ids, np.diff(before[edges])
+        edges = before[np.concatenate(([0], np.cumsum(sizes)))].tolist()
+        out: list[np.ndarray] = [None] * len(texts)
+        for i, a, z in zip(which.tolist(), edges, edges[1:]):
+            out[i] = ids[a:z]
+        return out
 
 
 SHARDS = "part int, shard int, n_tokens long, doc_ids array<long>, doc_sizes array<int>, blob binary"
@@ -283,8 +352,10 @@ def encode(docs: DataFrame, tokenizer: str, end_id: int = 2, id_col: str = "doc_
             yield close()
 
     texts = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    ranges = texts.repartitionByRange(shuffle_partitions(docs.sparkSession), F.col("doc_id").asc_nulls_first(), "text")
-    return ranges.sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text").mapInPandas(pack, SHARDS)
+    # ties by a hash: the range exchange samples its keys, which should be short
+    order = (F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
+    ranges = texts.repartitionByRange(shuffle_partitions(docs.sparkSession), *order)
+    return ranges.sortWithinPartitions(*order).mapInPandas(pack, SHARDS)
 
 
 def _tokens(batches: Iterator[pd.DataFrame], encoder: Encoder, end_id: int,
@@ -298,10 +369,8 @@ def _tokens(batches: Iterator[pd.DataFrame], encoder: Encoder, end_id: int,
             while j < len(texts) and (j == i or chars + len(texts[j]) <= batch_chars):
                 chars += len(texts[j])
                 j += 1
-            ids, sizes = encoder.encode(texts[i:j])
-            ends = np.cumsum(sizes)
-            for key, a, z in zip(keys[i:j], (ends - sizes).tolist(), ends.tolist()):
-                yield None if pd.isna(key) else int(key), np.append(ids[a:z], np.uint32(end_id))
+            for key, ids in zip(keys[i:j], encoder.encode(texts[i:j])):
+                yield None if pd.isna(key) else int(key), np.append(ids, np.uint32(end_id))
             i = j
 
 
