@@ -47,7 +47,7 @@ def test_memory_is_bounded(monkeypatch):
     plain = Tokenizer.from_file(TOKENIZER)
     for t in ("a b c d e f", "f e d", "a b c d e f"):
         assert e.encode([t])[0].tolist() == plain.encode(t, add_special_tokens=False).ids
-        assert len(e.known) <= 6
+        assert len(e.known) <= 3 + 7  # the bound and one batch
 
 
 def want_rows(rows):
