@@ -161,6 +161,7 @@ def global_rank(df: DataFrame, order: Sequence[tuple[str, bool]], tiebreak: Sequ
         F.max_by(key, _ROW).alias("last_key"),
         F.max(_RUN).alias("last_run"),
     )
+    # one row per range partition: a size the partition count proves
     offsets = _offsets(stats)
 
     res = local.join(F.broadcast(offsets), _PID)
@@ -186,81 +187,3 @@ def _ntile(r0, total, n: int):
     first = F.floor(r0 / big).cast("long") + 1
     second = m + F.floor((r0 - cut) / F.when(q > 0, q)).cast("long") + 1
     return F.when(r0 < cut, first).otherwise(second).cast("long")
-
-
-# --- ranks of a few selected rows --------------------------------------------
-
-SELECTED_MAX = 256  # above this many selected rows (2k+1 aggregates), use global_rank
-
-
-def _sql_lit(value, dtype: T.DataType) -> str:
-    """An exact SQL literal of ``value`` typed as ``dtype``."""
-    t = dtype.simpleString()
-    if value is None:
-        return f"CAST(NULL AS {t})"
-    if isinstance(value, bool):
-        return "TRUE" if value else "FALSE"
-    if isinstance(value, int):
-        return f"CAST({value} AS {t})"
-    text = repr(value) if isinstance(value, float) else str(value)  # repr round-trips
-    quoted = "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
-    return quoted if isinstance(value, str) else f"CAST({quoted} AS {t})"
-
-
-def _before_sql(col: str, ascending: bool, lit: str, is_null: bool) -> str:
-    """``col`` sorts strictly before the literal (ASC nulls first, DESC nulls last)."""
-    c = f"`{col}`"
-    if is_null:
-        return "FALSE" if ascending else f"({c} IS NOT NULL)"
-    if ascending:
-        return f"({c} IS NULL OR {c} < {lit})"
-    return f"({c} > {lit})"
-
-
-def rank_selected(population: DataFrame, selected: DataFrame, order: Sequence[tuple[str, bool]],
-                  tiebreak: Sequence[str], rank_col: str = "rank", ntile: int | None = None,
-                  ntile_col: str = "ntile") -> DataFrame:
-    """RANK() (and NTILE(n)) over ``population`` for the rows of ``selected``
-    only — the k rows of a top-k report.
-
-    The rank of a row is one plus the number of rows sorting strictly before
-    it; its row number is one plus the number of rows before it in the total
-    order (key, then tie-breakers).  For k selected rows these are 2k
-    conditional counts, evaluated in one aggregation pass over the population
-    (partial counts per task, one row to merge): no shuffle, no sort and no
-    pairing of rows.  The selected rows themselves — k rows, bounded by the
-    caller's limit — are read once and returned with their ranks attached.
-    ``population`` should be materialised (it is scanned once more here).
-    The predicates are written as SQL expression text (one call per
-    aggregate) with exact literals.
-    """
-    head = selected.collect()
-    if len(head) > SELECTED_MAX:
-        raise ValueError(f"{len(head)} selected rows; use global_rank for more than {SELECTED_MAX}")
-    fields = selected.schema.fields
-    types = {f.name: f.dataType for f in fields}
-    extra_fields = [T.StructField(rank_col, T.LongType())]
-    if ntile:
-        extra_fields.append(T.StructField(ntile_col, T.LongType()))
-    if not head:
-        return population.sparkSession.createDataFrame([], T.StructType(fields + extra_fields))
-    aggs = [F.count(F.lit(1)).alias("_n")]
-    structs = []
-    for i, row in enumerate(head):
-        strictly, prefix_equal = [], []
-        for col, ascending in list(order) + [(c, True) for c in tiebreak]:
-            lit = _sql_lit(row[col], types[col])
-            term = _before_sql(col, ascending, lit, row[col] is None)
-            strictly.append(" AND ".join(prefix_equal + [term]))
-            prefix_equal.append(f"(`{col}` <=> {lit})")
-            if len(strictly) == len(order):  # rank: the key columns only
-                aggs.append(F.expr(f"count_if({' OR '.join(f'({t})' for t in strictly)})").alias(f"_r{i}"))
-        aggs.append(F.expr(f"count_if({' OR '.join(f'({t})' for t in strictly)})").alias(f"_p{i}"))
-        values = ", ".join(f"'{f.name}', {_sql_lit(row[f.name], f.dataType)}" for f in fields)
-        structs.append(f"named_struct({values}, '_rank', _r{i} + 1, '_pos', _p{i})")
-    counts = population.agg(*aggs)
-    per_row = counts.select("_n", F.expr(f"inline(array({', '.join(structs)}))"))
-    extra = [F.col("_rank").cast("long").alias(rank_col)]
-    if ntile:
-        extra.append(_ntile(F.col("_pos"), F.col("_n"), ntile).alias(ntile_col))
-    return per_row.select(*[f.name for f in fields], *extra)

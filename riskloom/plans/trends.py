@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from riskloom import constants as K
 from riskloom.functions import flag, is_in, pct, round_ratio, stressed
-from riskloom.operators.ranking import SELECTED_MAX, global_rank, rank_selected
+from riskloom.operators.ranking import global_rank
 from riskloom.operators.topk import order_exprs, sort_small, top_k
 from riskloom.plans.common import customer_scores
 from riskloom.plans.credit import for_years
@@ -93,35 +93,24 @@ def customer_risk_ranking(loans: DataFrame, customers: DataFrame,
     """Borrowers ranked by exposure (RANK, NTILE deciles) and by credit score
     (RANK, lowest score first); the ``limit`` lowest risk ranks.
 
-    Exposure rank and decile are global over all borrowers.  For the report
-    (``limit`` rows) they are needed for the selected rows only: the risk
-    rank is computed on the lowest-score rows (every borrower with a strictly
-    lower score than a selected one is selected too, so the rank over the
-    selection is the global rank), and exposure rank and decile of those rows
-    come from one counting pass over all borrowers (``rank_selected``).  For
-    every borrower (``limit=None``) or a very large limit, the distributed
-    ``global_rank`` computes both orderings.  Ties are broken by customer_id
-    (for the limit and for NTILE); nothing runs in a single-partition window
-    over borrowers.
+    Exposure rank and decile are global: the distributed ``global_rank`` numbers
+    all borrowers by exposure.  The risk rank of a report with a ``limit`` is
+    taken on its rows (every borrower with a strictly lower score than a
+    selected one is selected too, so the rank over the selection is the global
+    rank); for every borrower (``limit=None``) a second ``global_rank`` gives
+    it.  Ties are broken by customer_id (for the limit and for NTILE); no
+    single-partition window runs over borrowers.
     """
-    per_customer = customer_exposure(loans, customers)
-    if limit is None or limit > SELECTED_MAX:
-        ranked = global_rank(per_customer, [("total_exposure", False)], ["customer_id"],
-                             rank_col="exposure_rank", ntile=tiles, ntile_col="exposure_decile",
-                             num_partitions=num_partitions)
-        if limit is None:
-            ranked = global_rank(ranked, [("credit_score", True)], ["customer_id"],
-                                 rank_col="risk_rank", num_partitions=num_partitions)
-        else:
-            ranked = _risk_rank_of_head(top_k(ranked, limit, [("credit_score", True)], ["customer_id"]))
+    # the range exchange samples its input: written once, so that the join runs once
+    per_customer = materialize(customer_exposure(loans, customers), "customer-exposure")
+    ranked = global_rank(per_customer, [("total_exposure", False)], ["customer_id"],
+                         rank_col="exposure_rank", ntile=tiles, ntile_col="exposure_decile",
+                         num_partitions=num_partitions)
+    if limit is None:
+        ranked = global_rank(ranked, [("credit_score", True)], ["customer_id"],
+                             rank_col="risk_rank", num_partitions=num_partitions)
     else:
-        # the per-borrower table is read twice (top-k, counting pass): write it once
-        per_customer = materialize(per_customer, "customer-exposure")
-        head = _risk_rank_of_head(top_k(per_customer, limit, [("credit_score", True)], ["customer_id"]))
-        ranked = rank_selected(per_customer, head, [("total_exposure", False)], ["customer_id"],
-                               rank_col="exposure_rank", ntile=tiles, ntile_col="exposure_decile")
+        ranked = _risk_rank_of_head(top_k(ranked, limit, [("credit_score", True)], ["customer_id"]))
     out = ranked.select("customer_id", "total_exposure", "credit_score", "default_count", "dpd_avg",
                         "exposure_rank", "risk_rank", "exposure_decile")
-    if limit is None:  # every borrower: a distributed sort
-        return top_k(out, None, [("risk_rank", True)], ["customer_id"])
-    return sort_small(out, [("risk_rank", True)], ["customer_id"])
+    return top_k(out, None, [("risk_rank", True)], ["customer_id"])

@@ -75,40 +75,6 @@ def test_one_key_across_all_partitions(spark, parts):
         {tuple(r) for r in exp.collect()}
 
 
-@pytest.mark.parametrize("ascending", [True, False])
-def test_rank_selected_matches_builtin(spark, ascending):
-    from riskloom.operators.ranking import rank_selected
-
-    df = _data(spark, n=1500, seed=3)
-    okey = F.col("v").asc_nulls_first() if ascending else F.col("v").desc_nulls_last()
-    exp = df.select("id", F.rank().over(Window.orderBy(okey)).cast("long").alias("r"),
-                    F.ntile(10).over(Window.orderBy(okey, "id")).cast("long").alias("t"))
-    # a selection with hot-key rows, NULL-key rows and ordinary rows
-    selected = df.where("id < 'id00060'")
-    got = rank_selected(df, selected, [("v", ascending)], ["id"], rank_col="r", ntile=10, ntile_col="t")
-    assert got.columns == df.columns + ["r", "t"]
-    want = {r.id: (r.r, r.t) for r in exp.collect() if r.id < "id00060"}
-    assert {r.id: (r.r, r.t) for r in got.collect()} == want
-    assert sorted(tuple(r) for r in got.select(*df.columns).collect()) == \
-        sorted(tuple(r) for r in selected.collect())
-
-
-def test_sql_literals_round_trip(spark):
-    import datetime
-    import decimal
-
-    from pyspark.sql import types as T
-
-    from riskloom.operators.ranking import _sql_lit
-
-    cases = [("it's a \\ path", T.StringType()), ("₹ x", T.StringType()), (0.1 + 0.2, T.DoubleType()),
-             (1e300, T.DoubleType()), (-5e-324, T.DoubleType()), (2 ** 62, T.LongType()),
-             (-7, T.IntegerType()), (decimal.Decimal("12345.67"), T.DecimalType(18, 2)),
-             (datetime.date(2021, 3, 4), T.DateType()), (None, T.StringType()), (True, T.BooleanType())]
-    row = spark.range(1).select(*[F.expr(_sql_lit(v, t)).alias(f"c{i}") for i, (v, t) in enumerate(cases)]).first()
-    assert list(row) == [v for v, _ in cases]
-
-
 @pytest.mark.parametrize("seed", [1, 2, 3, 4, 5])
 def test_global_rank_randomised(spark, seed):
     import random
@@ -129,26 +95,3 @@ def test_global_rank_randomised(spark, seed):
                     F.ntile(4).over(Window.orderBy(*okey, "id")).cast("long").alias("t"))
     assert {tuple(r) for r in got.select("id", "r", "rn", "t").collect()} == \
         {tuple(r) for r in exp.collect()}, (order, parts, n)
-
-
-@pytest.mark.parametrize("seed", [6, 7, 8, 9])
-def test_rank_selected_randomised(spark, seed):
-    import random
-
-    from riskloom.operators.ranking import rank_selected
-
-    rnd = random.Random(seed)
-    n = rnd.choice([5, 60, 400])
-    rows = [(f"k{i:04d}", rnd.choice([None, 1, 2, 2, 3]), rnd.choice([None, "a", "b'c"]),
-             rnd.choice([0.5, float("nan"), None, 1.5])) for i in range(n)]
-    df = spark.createDataFrame(rows, "id string, a int, b string, c double")
-    order = [("a", rnd.random() < 0.5), ("b", rnd.random() < 0.5), ("c", rnd.random() < 0.5)]
-    order = order[:rnd.choice([1, 2, 3])]
-    okey = [F.col(c).asc_nulls_first() if asc else F.col(c).desc_nulls_last() for c, asc in order]
-    exp = {r.id: (r.r, r.t) for r in df.select(
-        "id", F.rank().over(Window.orderBy(*okey)).cast("long").alias("r"),
-        F.ntile(7).over(Window.orderBy(*okey, "id")).cast("long").alias("t")).collect()}
-    pick = sorted(rnd.sample([r[0] for r in rows], min(n, 25)))
-    selected = df.where(F.col("id").isin(pick))
-    got = rank_selected(df, selected, order, ["id"], rank_col="r", ntile=7, ntile_col="t")
-    assert {r.id: (r.r, r.t) for r in got.collect()} == {k: exp[k] for k in pick}, (order, n)
