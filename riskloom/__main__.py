@@ -3,8 +3,8 @@
     python -m riskloom --sf-dir /path/to/tables --out /shared/reports [--reports a,b]
 
 ``--sf-dir`` holds the driver tables the domain is derived from.  ``--out``
-should be shared storage on a cluster.  Small category reports are written as
-a single file; row-level outputs keep one file per task.
+should be shared storage on a cluster.  A report has as many files as its last
+stage has tasks (one for the category reports).
 """
 
 from __future__ import annotations
@@ -12,9 +12,6 @@ from __future__ import annotations
 import argparse
 import sys
 
-LARGE = {"loan_customer_merge", "loan_lake_roundtrip", "customer_risk_ranking_all", "pd_by_customer"}
-
-
 def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="riskloom")
     ap.add_argument("--sf-dir", required=True)
@@ -26,7 +23,7 @@ def main(argv: list[str] | None = None) -> int:
     from pyspark.sql import SparkSession
 
     from riskloom.plans.registry import all_queries
-    from riskloom.session import build_session, report_settings
+    from riskloom.session import build_session, release_scratch, report_settings
     from riskloom.sources.warehouse import write_report_csv
 
     spark = build_session(args.master) if args.master else SparkSession.builder.getOrCreate()
@@ -38,8 +35,8 @@ def main(argv: list[str] | None = None) -> int:
         print(f"unknown reports: {unknown}", file=sys.stderr)
         return 2
     for name in names:
-        write_report_csv(queries[name](spark, args.sf_dir), f"{args.out.rstrip('/')}/{name}",
-                         single_file=name not in LARGE)
+        write_report_csv(queries[name](spark, args.sf_dir), f"{args.out.rstrip('/')}/{name}")
+        release_scratch(spark)  # the report is written: its intermediate tables can go
         print(f"wrote {name}")
     return 0
 

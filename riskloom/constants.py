@@ -2,7 +2,7 @@
 
 FIXED VALUES — these strings and thresholds must equal the report
 definitions exactly (labels appear verbatim in report output).  They are
-listed here plainly, in natural order, and nowhere else.
+listed here plainly, in natural order; the engine takes them from here.
 """
 
 from __future__ import annotations
@@ -15,15 +15,6 @@ STRESSED_STATUSES = ("Default", "NPA", "Written-Off")
 # The narrower set used by the rolling 3-month default trend only.
 DEFAULT_STATUSES = ("Default", "NPA")
 
-# --- fixed values: other vocabularies ----------------------------------------
-LOAN_TYPES = ("Personal", "Home", "Vehicle", "Business", "Education", "Credit Card")
-EMPLOYMENT_TYPES = ("Salaried", "Self-Employed", "Business Owner", "Freelancer", "Government")
-TRANSACTION_TYPES = (
-    "EMI_Payment", "Cash_Withdrawal", "UPI_Transfer", "NEFT", "RTGS",
-    "Card_Payment", "Loan_Disbursement", "Interest_Credit", "Reversal",
-)
-CHANNELS = ("Mobile_App", "Net_Banking", "ATM", "Branch", "POS", "UPI")
-
 # --- fixed values: days-past-due buckets (upper bound inclusive, label) -------
 # dpd = 0 -> first label; dpd <= bound -> label; anything else (incl. NULL) -> last.
 DPD_CURRENT_LABEL = "SMA-0 (Current)"

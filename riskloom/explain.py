@@ -43,20 +43,21 @@ def skeleton(plan: str) -> list[str]:
 
 def main(argv: list[str]) -> int:
     sys.path.insert(0, ".")
-    from __spark_entry__ import queries
-    from riskloom.session import build_session
+    from riskloom.plans.registry import all_queries
+    from riskloom.session import build_session, release_scratch
 
     sf_dir = argv[0] if argv else "/root/testdata/sf0.1"
     spark = build_session()
     spark.conf.set("spark.sql.maxMetadataStringLength", "400")
     print(f"# Executed plans ({sf_dir}, local, AQE final plans)\n")
-    for name, q in sorted(queries().items()):
+    for name, q in sorted(all_queries().items()):
         df = q(spark, sf_dir)
         df.write.format("noop").mode("overwrite").save()
         plan = df._jdf.queryExecution().executedPlan().toString()
         print(f"## {name}\n\n```")
         print("\n".join(skeleton(plan)))
         print("```\n")
+        release_scratch(spark)
     _lake_section(spark, sf_dir)
     return 0
 
@@ -71,7 +72,7 @@ def _lake_section(spark, sf_dir: str, buckets: int = 8) -> None:
     from riskloom.session import scratch_path
     from riskloom.sources.tables import load_domain
 
-    root = scratch_path(spark, f"explain-lake-{uuid.uuid4().hex[:8]}")
+    root = scratch_path(spark, "explain-lake")
     back = lake.build_lake(spark, lake.land(load_domain(spark, sf_dir), root), root,
                            "explain_" + uuid.uuid4().hex[:8], buckets=buckets)
     prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")

@@ -5,5 +5,5 @@ from riskloom.functions.buckets import (  # noqa: F401
     score_band, status_weights_e5, stressed,
 )
 from riskloom.functions.rounding import (  # noqa: F401
-    avg_money, avg_round, cents, half_even_double, money, pct, round_ratio,
+    avg_money, avg_round, half_even_double, money_parts, money_total, pct, round_ratio, sum_money,
 )

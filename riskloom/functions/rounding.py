@@ -63,27 +63,14 @@ def _rounded(an: Column, ad: Column, factor: int, mode: str, floor_div) -> Colum
     raise ValueError(f"unknown rounding mode {mode!r}")
 
 
-_MEMO: dict[tuple, Column] = {}
-
-
 def round_ratio(num: Column | str, den: Column | str | int, scale: int = 2,
                 mode: str = "half_up", mult: int = 1) -> Column:
     """ROUND(num * mult / den, scale) on the exact rational value, as a double.
 
-    ``num`` and ``den`` must be integer valued (counts, sums of BIGINT, exact
-    cents).  ``mode`` is ``half_up`` (SQL ROUND: ties away from zero) or
+    ``num`` and ``den`` must be integer valued (counts, sums of BIGINT, money
+    units).  ``mode`` is ``half_up`` (SQL ROUND: ties away from zero) or
     ``half_even`` (banker's rounding).  NULL when ``den`` is 0 or NULL.
-    Expressions over column names are built once per Spark context.
     """
-    if isinstance(num, str) and isinstance(den, (str, int)):
-        from pyspark import SparkContext
-
-        sc = SparkContext._active_spark_context
-        key = (sc.applicationId if sc else None, num, den, scale, mode, mult)
-        if key not in _MEMO:
-            _MEMO[key] = _round_ratio(F.col(num), F.col(den) if isinstance(den, str) else F.lit(den),
-                                      scale, mode, mult)
-        return _MEMO[key]
     return _round_ratio(_col(num), F.lit(den) if isinstance(den, int) else _col(den), scale, mode, mult)
 
 
@@ -110,21 +97,41 @@ def avg_round(total: Column | str, count: Column | str, scale: int = 0,
     return round_ratio(total, count, scale, mode)
 
 
-def cents(x: Column | str) -> Column:
-    """A money amount as exact integer cents (BIGINT): sums become exact and
-    independent of row order, and stay on the fast BIGINT aggregation path."""
-    return F.round(_col(x) * 100).cast("long")
+# --- sums of money -------------------------------------------------------------
+# Amounts are doubles.  They are summed as decimals of a millionth, in any row
+# order the same; finer digits of a double (0.1 * 3) are noise of its binary form.
+# The sum has 32 digits before the point.
+_MONEY = "decimal(28,6)"
+_UNIT = 10 ** 6
+
+
+def money_parts(amount: Column | str) -> tuple[Column, Column, Column]:
+    """Three aggregates of an amount: the exact sum, the sum of doubles, and
+    whether an amount has no such decimal (NaN, infinite, beyond 1e22).  Partial
+    results add up: sum, sum, and or."""
+    x = _col(amount)
+    exact = x.try_cast(_MONEY)
+    return F.sum(exact), F.sum(x), F.bool_or(x.isNotNull() & exact.isNull())
+
+
+def money_total(exact: Column, plain: Column, odd: Column, scale: int | None = None) -> Column:
+    """SUM(amount) as a double, rounded half-up to ``scale`` if given; where an
+    amount has no decimal, what a sum of doubles gives."""
+    rounded = exact if scale is None else F.round(exact, scale)
+    return F.when(odd, plain).otherwise(rounded.cast("double"))
 
 
-def money(cents_col: Column | str) -> Column:
-    """Exact integer cents back to an amount (double)."""
-    return _col(cents_col).cast("double") / 100
+def sum_money(amount: Column | str, scale: int | None = None) -> Column:
+    """``money_total`` in one aggregation."""
+    return money_total(*money_parts(amount), scale)
 
 
-def avg_money(sum_cents: Column | str, count: Column | str, scale: int = 2,
+def avg_money(exact: Column | str, plain: Column | str, odd: Column | str, count: Column | str, scale: int = 2,
               mode: str = "half_up") -> Column:
-    """ROUND(AVG(amount), scale) from SUM(cents(amount)) and COUNT(amount)."""
-    return round_ratio(sum_cents, _col(count) * 100, scale, mode)
+    """ROUND(AVG(amount), scale) from columns of ``money_parts`` and COUNT(amount)."""
+    units = (_col(exact) * F.lit(_UNIT)).cast(_DEC)
+    exact_avg = round_ratio(units, _col(count).cast(_DEC) * F.lit(_UNIT), scale, mode)
+    return F.when(_col(odd), _col(plain) / _col(count)).otherwise(exact_avg)
 
 
 def half_even_double(x: Column | str, scale: int) -> Column:

@@ -109,7 +109,8 @@ def with_domain(body: str, tables: tuple[str, ...] = ("customer_profiles", "loan
                                                       "transactions")) -> str:
     """Prefix a report query with the CTEs of the domain tables it uses."""
     ctes = ",\n".join(f"{t} AS ({DOMAIN_CTES[t]})" for t in tables)
-    return f"WITH {ctes}\n{body}"
+    own = body.lstrip()  # a report with CTEs of its own: they join the list
+    return f"WITH {ctes},\n{own[5:]}" if own.startswith("WITH ") else f"WITH {ctes}\n{body}"
 
 
 # ---------------------------------------------------------------- rounding --
@@ -137,14 +138,15 @@ def pct_sql(num: str, den: str, scale: int = 2, mode: str = "half_up") -> str:
     return round_ratio_sql(f"CAST({num} AS HUGEINT) * 100", den, scale, mode)
 
 
-def cents_sum_sql(col: str) -> str:
-    """SUM of a money column as exact cents (HUGEINT)."""
-    return f"SUM(CAST(ROUND({col} * 100) AS HUGEINT))"
+def money_sql(col: str, scale: int | None = None) -> str:
+    """SUM of an amount column, added up as a decimal; rounded only if asked."""
+    total = f"SUM(CAST({col} AS DECIMAL(38,6)))"
+    return f"CAST({total if scale is None else f'ROUND({total}, {scale})'} AS DOUBLE)"
 
 
-def money_sql(cents_expr: str) -> str:
-    """Exact cents back to a double amount."""
-    return f"(CAST({cents_expr} AS DOUBLE) / 100)"
+def money_avg_sql(col: str, scale: int = 2, mode: str = "half_up") -> str:
+    """ROUND(AVG(amount)) from the sum of millionths."""
+    return round_ratio_sql(f"SUM(CAST(ROUND({col} * 1000000) AS HUGEINT))", f"COUNT({col}) * 1000000", scale, mode)
 
 
 def half_even_double_sql(x: str, scale: int) -> str:

@@ -2,19 +2,20 @@
 
 Transactions are the largest table, so every rule aggregates them with
 map-side partial aggregation before anything else: a loan with a third of
-all transactions becomes one partial row per map task.  Money sums are taken
-over exact integer cents, which makes them independent of row order.
+all transactions becomes one partial row per map task.  Money sums are exact
+decimals (``functions.rounding``), so they do not depend on row order.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom import constants as K
-from riskloom.functions import avg_money, cents, half_even_double, money, off_hours, off_hours_list, pct
-from riskloom.operators.joins import checked_broadcast
+from riskloom.functions import (avg_money, half_even_double, large_amount_flag, money_parts, money_total, off_hours, off_hours_list, pct,
+                                sum_money)
 from riskloom.operators.topk import sort_small, top_k
+from riskloom.session import materialize
 
 
 def _suspicious_cash(txns: DataFrame, min_amount: float) -> DataFrame:
@@ -35,31 +36,22 @@ def aml_structuring(txns: DataFrame, loans: DataFrame, customers: DataFrame,
     report key.  Only flagged rows, already reduced, ever reach a join, and the
     result equals the row-level three-way join for any key multiplicity.
 
-    The flagged aggregate is normally tiny while loans and customers are the
-    largest dimensions, so it is materialised and, if its checked size allows,
-    broadcast; the same check applies to its join with loans.  Loans and
-    customers are then streamed through hash joins without being shuffled.
-    Beyond the limits the joins shuffle as usual.
+    The flagged aggregate and its join with loans are normally tiny while loans
+    and customers are the largest dimensions.  Both are written as intermediate
+    tables, so the planner chooses each join by their real size on disk:
+    a broadcast hash join under ``autoBroadcastJoinThreshold``, which streams the
+    dimension without shuffling it, else a shuffle join with skew handling.
     """
-    per_month = _suspicious_cash(txns, min_amount).groupBy("loan_id", "transaction_month").agg(
-        F.count("*").alias("n"),
-        F.sum(cents("amount")).alias("amt"),
+    exact, plain, odd = money_parts("amount")
+    per_month = materialize(_suspicious_cash(txns, min_amount).groupBy("loan_id", "transaction_month").agg(
+        F.count("*").alias("n"), exact.alias("exact"), plain.alias("plain"), odd.alias("odd"),
         F.max("amount").alias("mx"),
-    )
-    per_month, small = checked_broadcast(per_month)
-    with_loan = per_month.join(loans.select("loan_id", "customer_id"), "loan_id", "inner")
-    if small:
-        # one row per flagged row and loan copy: small unless loan ids repeat,
-        # so its size is checked as well before it is broadcast
-        with_loan, _ = checked_broadcast(with_loan)
+    ), "flagged")
+    with_loan = materialize(per_month.join(loans.select("loan_id", "customer_id"), "loan_id", "inner"), "flagged-loans")
     joined = with_loan.join(customers.select("customer_id", "state", "segment"), "customer_id", "inner")
-    if small:
-        # the streamed customer side leaves the (checked-small) rows unclustered:
-        # one exchange on loan_id serves both phases of the distinct aggregation
-        joined = joined.repartition("loan_id")
     agg = joined.groupBy("loan_id", "customer_id", "state", "segment").agg(
         F.sum("n").alias("suspicious_txn_count"),
-        money(F.sum("amt")).alias("total_suspicious_amount"),
+        money_total(F.sum("exact"), F.sum("plain"), F.bool_or("odd")).alias("total_suspicious_amount"),
         F.max("mx").alias("max_single_txn"),
         F.countDistinct("transaction_month").alias("months_active"),
     )
@@ -74,7 +66,7 @@ def aml_structuring_txn_only(txns: DataFrame, min_amount: float = K.AML_MIN_AMOU
     """The pandas flavour: no joins, so transactions of unknown loans stay in."""
     agg = _suspicious_cash(txns, min_amount).groupBy("loan_id").agg(
         F.count("transaction_id").alias("suspicious_txn_count"),
-        money(F.sum(cents("amount"))).alias("total_suspicious_amount"),
+        sum_money("amount").alias("total_suspicious_amount"),
         F.max("amount").alias("max_single_txn"),
     )
     out = agg.where(F.col("suspicious_txn_count") >= min_txns)
@@ -84,7 +76,7 @@ def aml_structuring_txn_only(txns: DataFrame, min_amount: float = K.AML_MIN_AMOU
 def _off_hours_report(txns: DataFrame, predicate) -> DataFrame:
     agg = txns.where(predicate).groupBy("transaction_hour").agg(
         F.count("*").alias("txn_count"),
-        money(F.sum(cents("amount"))).alias("total_amount"),
+        sum_money("amount", 2).alias("total_amount"),
         F.sum("is_suspicious_flag").alias("suspicious_count"),
     )
     out = agg.withColumn("suspicion_rate_pct", pct("suspicious_count", "txn_count", 2))
@@ -112,7 +104,7 @@ def aml_reversals(txns: DataFrame, min_rate: float = K.REVERSAL_MIN_RATE,
     agg = txns.groupBy("loan_id").agg(
         F.count("*").alias("total_txns"),
         F.sum("reversal_flag").alias("reversal_count"),
-        money(F.sum(cents("amount"))).alias("gross_volume"),
+        sum_money("amount").alias("gross_volume"),
     )
     out = (agg.withColumn("reversal_rate_pct", pct("reversal_count", "total_txns", 2))
            .where((F.col("reversal_rate_pct") > min_rate) & (F.col("total_txns") >= min_txns))
@@ -120,16 +112,20 @@ def aml_reversals(txns: DataFrame, min_rate: float = K.REVERSAL_MIN_RATE,
     return top_k(out, limit, [("reversal_rate_pct", False)], ["loan_id"])
 
 
+def _amounts() -> list[Column]:
+    exact, plain, odd = money_parts("amount")
+    return [exact.alias("_exact"), plain.alias("_plain"), odd.alias("_odd"), F.count("amount").alias("_n")]
+
+
 def channel_risk(txns: DataFrame) -> DataFrame:
     """Suspicious share and average amount per channel."""
     agg = txns.groupBy("channel").agg(
         F.count("*").alias("total_transactions"),
         F.sum("is_suspicious_flag").alias("suspicious_transactions"),
-        F.sum(cents("amount")).alias("_cents"),
-        F.count("amount").alias("_n"),
+        *_amounts(),
     )
     out = agg.select("channel", "total_transactions", "suspicious_transactions",
-                     avg_money("_cents", "_n", 2).alias("avg_txn_amount"),
+                     avg_money("_exact", "_plain", "_odd", "_n", 2).alias("avg_txn_amount"),
                      pct("suspicious_transactions", "total_transactions", 2).alias("suspicion_rate_pct"))
     return sort_small(out, [("suspicion_rate_pct", False)], ["channel"])
 
@@ -139,12 +135,22 @@ def channel_risk_pandas(txns: DataFrame) -> DataFrame:
     agg = txns.groupBy("channel").agg(
         F.count("transaction_id").alias("total_txns"),
         F.sum("is_suspicious_flag").alias("suspicious"),
-        F.sum(cents("amount")).alias("_cents"),
-        F.count("amount").alias("_n"),
+        *_amounts(),
     )
     out = agg.select("channel", "total_txns", "suspicious",
-                     avg_money("_cents", "_n", 2, "half_even").alias("avg_amount"),
+                     avg_money("_exact", "_plain", "_odd", "_n", 2, "half_even").alias("avg_amount"),
                      half_even_double(F.col("suspicious").cast("double")
                                       / F.col("total_txns").cast("double") * 100, 2)
                      .alias("suspicion_rate_pct"))
     return sort_small(out, [("suspicion_rate_pct", False)], ["channel"])
+
+
+def large_amount_by_channel(txns: DataFrame, limit: float = K.LARGE_AMOUNT) -> DataFrame:
+    """Transactions over ``limit`` per channel, and how many of those are flagged
+    as suspicious."""
+    large = large_amount_flag("amount", limit)
+    agg = txns.groupBy("channel").agg(
+        F.count("*").alias("total_txns"), F.sum(large).alias("large_txns"),
+        F.sum(large * F.col("is_suspicious_flag")).alias("large_suspicious"))
+    out = agg.withColumn("large_share_pct", pct("large_txns", "total_txns", 2))
+    return sort_small(out, [("large_share_pct", False)], ["channel"])

@@ -14,15 +14,16 @@ from riskloom.operators.share import total_as_scalar
 from riskloom.operators.topk import sort_small, top_k
 
 
-def gross_npa_rate(loans: DataFrame) -> DataFrame:
-    """NPA exposure as a share of exposure, per loan type (by amount)."""
+def gross_npa_rate(loans: DataFrame, mode: str = "half_up") -> DataFrame:
+    """NPA exposure as a share of exposure, per loan type (by amount).  The
+    pandas flavour rounds ``half_even``."""
     npa_amount = F.when(F.col("loan_status") == "NPA", F.col("loan_amount")).otherwise(F.lit(0))
     agg = loans.groupBy("loan_type").agg(
         F.count("*").alias("total_loans"),
         F.sum(npa_amount).alias("npa_amount"),
         F.sum("loan_amount").alias("total_amount"),
     )
-    out = agg.withColumn("gross_npa_rate_pct", pct("npa_amount", "total_amount", 2))
+    out = agg.withColumn("gross_npa_rate_pct", pct("npa_amount", "total_amount", 2, mode))
     return sort_small(out, [("gross_npa_rate_pct", False)], ["loan_type"])
 
 
@@ -118,13 +119,14 @@ def high_risk_micro_segments(loans: DataFrame, customers: DataFrame,
     return top_k(out, limit, [("at_risk_exposure", False)], ["segment", "employment_type", "state"])
 
 
-def credit_score_bands(customers: DataFrame) -> DataFrame:
-    """Customers per credit-score band and their share of all customers.
+def credit_score_bands(customers: DataFrame, mode: str = "half_up") -> DataFrame:
+    """Customers per credit-score band and their share of all customers (the
+    pandas flavour rounds ``half_even``).
 
     The denominator is an uncorrelated scalar subquery (run once, inlined).
     """
     total = total_as_scalar(customers, F.count("*"))
     agg = (customers.withColumn("score_band", score_band("credit_score"))
            .groupBy("score_band").agg(F.count("*").alias("customers")))
-    out = agg.withColumn("pct_of_portfolio", pct("customers", total, 2))
+    out = agg.withColumn("pct_of_portfolio", pct("customers", total, 2, mode))
     return sort_small(out, [("customers", False)], ["score_band"])

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom import schema as S
-from riskloom.session import scratch_path
+from riskloom.session import drop_scratch, scratch_path
 from riskloom.sources import landing, warehouse
 from riskloom.sources.tables import Domain, conform
 
@@ -42,15 +42,24 @@ def build_lake(spark: SparkSession, landing_paths: dict[str, str], root: str,
     customer_id (loans still partitioned by year) and transactions on
     loan_id, so the per-customer aggregations, the loan-customer joins and
     the per-loan AML aggregations run without shuffling these tables.
+
+    Every load writes new files, then switches each table to them and deletes
+    the files it replaces: loading again gives the new data in all tables.
+    A row that cannot be read as declared stays, with NULL in the unreadable
+    fields (as in a delimited-text table), and is copied with its raw line to
+    the table's quarantine, ``<table>_rejected``; ``rejected`` counts those.
     """
     warehouse.create_database(spark, database, "Loan-portfolio risk tables", f"{root}/{database}.db")
-    part = S.PARTITION_COLUMN
+    part, load = S.PARTITION_COLUMN, uuid.uuid4().hex[:12]
+    place = lambda t: f"{root}/tables/{t}/load-{load}"
+    replaced = [warehouse.location_of(spark, f"{database}.{t}{kind}") for t in S.SCHEMAS for kind in ("", "_rejected")]
 
-    cust_path = f"{root}/tables/customer_profiles"
     customers = landing.read_landing(spark, landing_paths["customer_profiles"], "customer_profiles")
-    loan_path = f"{root}/tables/loan_applications"
     loans_csv = landing.read_landing(spark, landing_paths["loan_applications"], "loan_applications")
+    cust_path, loan_path = place("customer_profiles"), place("loan_applications")
     if buckets:
+        for t in ("customer_profiles", "loan_applications"):
+            warehouse.drop_table(spark, f"{database}.{t}")
         warehouse.save_bucketed_table(customers, f"{database}.customer_profiles", cust_path,
                                       buckets, ["customer_id"])
         warehouse.save_bucketed_table(loans_csv, f"{database}.loan_applications", loan_path,
@@ -69,7 +78,14 @@ def build_lake(spark: SparkSession, landing_paths: dict[str, str], root: str,
                              warehouse.schema_ddl("transactions"), fmt="csv",
                              options={"header": "true", "enforceSchema": "false"})
     warehouse.ctas(spark, f"{database}.transactions", f"{database}.transactions_raw",
-                   f"{root}/tables/transactions", buckets=buckets, bucket_by=["loan_id"])
+                   place("transactions"), buckets=buckets, bucket_by=["loan_id"])
+
+    for t in S.SCHEMAS:
+        bad = landing.read_checked(spark, landing_paths[t], t).where(F.col(landing.RAW_LINE).isNotNull())
+        warehouse.write_table_files(bad, place(f"{t}_rejected"))
+        warehouse.register_table(spark, f"{database}.{t}_rejected", place(f"{t}_rejected"),
+                                 warehouse.schema_ddl(t) + f", {landing.RAW_LINE} STRING")
+    drop_scratch(spark, *[p for p in replaced if p])
 
     return Domain(
         customers=conform(spark.table(f"{database}.customer_profiles"), "customer_profiles"),
@@ -78,11 +94,38 @@ def build_lake(spark: SparkSession, landing_paths: dict[str, str], root: str,
     )
 
 
+def rejected(spark: SparkSession, database: str) -> dict[str, int]:
+    """Rows in each table's quarantine."""
+    return {t: spark.table(f"{database}.{t}_rejected").count() for t in S.SCHEMAS}
+
+
+def ingested_tables(spark: SparkSession, domain: Domain) -> DataFrame:
+    """The three tables through the whole ingestion (CSV landing, typed reads,
+    partitioned ORC with partition repair, CTAS), read from the catalog: one row per
+    ingested row with its id, state, year and main number."""
+    root = scratch_path(spark, "lake")
+    database = f"riskloom_{uuid.uuid4().hex[:12]}"
+    lake = build_lake(spark, land(domain, root), root, database)
+    row = lambda table, key, year, number: (
+        F.lit(table).alias("table_name"), F.col(key).alias("row_id"), F.col("state"), F.col(year).alias("year"),
+        F.col(number).cast("double").alias("number"))
+    return (lake.customers.select(*row("customer_profiles", "customer_id", "onboarding_year", "credit_score"))
+            .union(lake.loans.select(*row("loan_applications", "loan_id", "disbursement_year", "loan_amount")))
+            .union(lake.txns.select(*row("transactions", "transaction_id", "transaction_year", "amount"))))
+
+
+def report_through_csv(spark: SparkSession, report: DataFrame) -> DataFrame:
+    """A report written by the CSV sink and read back with its own types."""
+    path = scratch_path(spark, "report")
+    warehouse.write_report_csv(report, path)
+    return landing.read_csv(spark, path, report.schema, mode="FAILFAST")
+
+
 def loan_lake_roundtrip(spark: SparkSession, domain: Domain, years: list[int] | None = None) -> DataFrame:
     """Loans through the whole landing path: CSV in file order -> typed read ->
     year-partitioned ORC/Snappy -> read back with partition discovery
     (and partition pruning when ``years`` is given)."""
-    root = scratch_path(spark, f"loan-lake-{uuid.uuid4().hex[:12]}")
+    root = scratch_path(spark, "loan-lake")
     csv_path = f"{root}/landing/loan_applications"
     landing.write_landing(domain.loans, csv_path, "loan_applications")
     loans = landing.read_landing(spark, csv_path, "loan_applications", mode="FAILFAST")

@@ -35,27 +35,26 @@ def expected_status_mix(loans: DataFrame, customers: DataFrame) -> DataFrame:
     loan's PD (loans LEFT JOIN customers; unknown customers use the default
     score).
 
-    Loans are counted per (customer, loan type) before the join, so the join
-    sees one row per borrower and product instead of one per loan; a
-    duplicated customer row multiplies the counts exactly as the row-level
-    left join does.
+    Customers are reduced to one row per id and score, so a duplicated customer
+    multiplies a loan's count as the row-level left join does.  The joined
+    loans are counted per loan type and PD right away: the rows that carry
+    weights are a few thousand at most, and their arithmetic is decimal.
     """
-    per_customer = loans.groupBy("customer_id", "loan_type").agg(F.count("*").alias("n"))
-    scores = customers.select("customer_id", "credit_score")
-    joined = per_customer.join(scores, "customer_id", "left")
-    pd_m = pd_millis("credit_score")
-    w = status_weights_e5(pd_m)
+    scores = customers.groupBy("customer_id", "credit_score").agg(F.count("*").alias("copies"))
+    joined = loans.select("customer_id", "loan_type").join(scores, "customer_id", "left")
+    counted = joined.select("loan_type", pd_millis("credit_score").alias("pd_m"), "copies").groupBy("loan_type", "pd_m").agg(
+        F.sum(F.coalesce("copies", F.lit(1)).cast("decimal(20,0)")).alias("n"))
+    w = status_weights_e5(F.col("pd_m"))
     total = w[0] + w[1] + w[2] + w[3] + w[4] + w[5]
     # w < 2^17 and total < 2^18, so w * 2e9 + total < 2^52: the exact
-    # double-division floor applies (no decimal arithmetic per row)
+    # double-division floor applies to a loan's share
     parts = [
-        (_floor_div_small(wi.cast("long") * (2 * _SCALE) + total, total.cast("long") * 2).cast("long")
-         * F.col("n")).alias(f"_u{i}")
+        (_floor_div_small(wi.cast("long") * (2 * _SCALE) + total, total.cast("long") * 2).cast("decimal(10,0)")
+         * F.col("n").cast("decimal(28,0)")).cast("decimal(38,0)").alias(f"_u{i}")
         for i, wi in enumerate(w)
     ]
-    units = joined.select("loan_type", "n", *parts)
-    agg = units.groupBy("loan_type").agg(
-        F.sum("n").alias("loans"),
+    agg = counted.select("loan_type", "n", *parts).groupBy("loan_type").agg(
+        F.sum("n").cast("long").alias("loans"),
         *[F.sum(f"_u{i}").alias(f"_s{i}") for i in range(len(w))],
     )
     return agg.select(

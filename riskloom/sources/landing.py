@@ -36,6 +36,17 @@ def read_landing(spark: SparkSession, path: str, table: str, mode: str = "PERMIS
     return read_csv(spark, path, S.SCHEMAS[table], mode)
 
 
+RAW_LINE = "raw_line"
+
+
+def read_checked(spark: SparkSession, path: str, table: str) -> DataFrame:
+    """A landing table with ``raw_line``: null for a good row, the line as it
+    stands for a malformed one (its unreadable fields are NULL)."""
+    schema = T.StructType([*S.SCHEMAS[table].fields, T.StructField(RAW_LINE, T.StringType())])
+    return (spark.read.schema(schema).option("header", True).option("enforceSchema", False)
+            .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", RAW_LINE).csv(path))
+
+
 def write_landing(df: DataFrame, path: str, table: str, mode: str = "overwrite") -> None:
     """Write a domain table as landing CSV in declared file order (header on)."""
     from riskloom.sources.tables import conform

@@ -138,30 +138,14 @@ class Domain:
     txns: DataFrame
 
 
-_DOMAIN_CACHE: dict[tuple[str, str], Domain] = {}
-
-
-def load_domain(spark: SparkSession, sf_dir: str, fresh: bool = False) -> Domain:
-    """Derive the three domain tables from the driver tables in ``sf_dir``.
-
-    The returned DataFrames are lazy plans (nothing is read or cached); they
-    are kept per session and directory so that running many reports does not
-    re-list files and re-analyse the derivation for each one.  ``fresh=True``
-    rebuilds them (e.g. after files were added to the directory).
-    """
-    try:
-        sid = spark._jsparkSession.sessionUUID()
-    except Exception:  # e.g. a Spark Connect session: key on the Python object
-        sid = f"py-{id(spark)}"
-    key = (sid, sf_dir.rstrip("/"))
-    if fresh or key not in _DOMAIN_CACHE:
-        _DOMAIN_CACHE[key] = Domain(
-            customers=customer_profiles(read_table(spark, sf_dir, "customer"),
-                                        read_table(spark, sf_dir, "nation")),
-            loans=loan_applications(read_table(spark, sf_dir, "orders")),
-            txns=transactions(read_table(spark, sf_dir, "lineitem")),
-        )
-    return _DOMAIN_CACHE[key]
+def load_domain(spark: SparkSession, sf_dir: str) -> Domain:
+    """Derive the three domain tables from the driver tables in ``sf_dir``: lazy
+    plans, built (and the files listed) anew on each call."""
+    return Domain(
+        customers=customer_profiles(read_table(spark, sf_dir, "customer"), read_table(spark, sf_dir, "nation")),
+        loans=loan_applications(read_table(spark, sf_dir, "orders")),
+        txns=transactions(read_table(spark, sf_dir, "lineitem")),
+    )
 
 
 def conform(df: DataFrame, table: str) -> DataFrame:

@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from riskloom import schema as S
 
@@ -34,11 +35,11 @@ def write_table_files(df: DataFrame, path: str, fmt: str = "orc", compression: s
                       partition_by: Sequence[str] = (), mode: str = "overwrite") -> None:
     """Write ``df`` as columnar files, one directory level per partition column.
 
-    Rows are clustered by the partition columns within each task before the
-    write, so every task keeps one open file at a time instead of one per
-    partition value; the write itself stays fully parallel (no shuffle).
+    Rows are rebalanced on the partition columns first: adaptive execution
+    splits a large partition value over several tasks and merges small ones, so
+    the number of files follows the data, not tasks times values.
     """
-    out = df.sortWithinPartitions(*partition_by) if partition_by else df
+    out = df.hint("rebalance", *[F.col(c) for c in partition_by]).sortWithinPartitions(*partition_by) if partition_by else df
     writer = out.write.mode(mode).format(fmt).option("compression", compression)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -51,20 +52,37 @@ def save_bucketed_table(df: DataFrame, name: str, path: str, buckets: int, by: S
     """Write ``df`` as an external catalog table hash-bucketed (and sorted) on
     ``by``.  Tables bucketed on the same key with the same bucket count join
     and aggregate on that key without any shuffle: bucket i of one table meets
-    bucket i of the other in the same task."""
-    writer = (df.write.mode(mode).format(fmt).option("compression", compression)
+    bucket i of the other in the same task.  Rows are dealt out by the bucket
+    hash before the write, so a task holds one bucket: at most one file per
+    bucket and partition value."""
+    writer = (df.repartition(buckets, *by).write.mode(mode).format(fmt).option("compression", compression)
               .option("path", path).bucketBy(buckets, *by).sortBy(*by))
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.saveAsTable(name)
 
 
+def location_of(spark: SparkSession, name: str) -> str | None:
+    """Where the files of an external table are; None if there is no such table."""
+    if not spark.catalog.tableExists(name):
+        return None
+    rows = describe(spark, name).where("col_name = 'Location'").collect()
+    return rows[0].data_type if rows else None
+
+
+def drop_table(spark: SparkSession, name: str) -> None:
+    """Forget a table; its files stay."""
+    spark.sql(f"DROP TABLE IF EXISTS {_q(name)}")
+
+
 def register_table(spark: SparkSession, name: str, path: str, schema_ddl: str, fmt: str = "orc",
                    partition_by: Sequence[str] = (), comment: str | None = None,
                    options: dict[str, str] | None = None) -> None:
-    """Register an external table over existing files (metadata only).
-    ``options`` are data-source options (e.g. ``header`` for CSV)."""
-    sql = f"CREATE TABLE IF NOT EXISTS {_q(name)} ({schema_ddl}) USING {fmt}"
+    """Register an external table over existing files (metadata only), in place
+    of a table of that name.  ``options`` are data-source options (e.g. ``header``
+    for CSV)."""
+    drop_table(spark, name)
+    sql = f"CREATE TABLE {_q(name)} ({schema_ddl}) USING {fmt}"
     if options:
         sql += " OPTIONS (" + ", ".join(f"'{k}' '{v}'" for k, v in options.items()) + ")"
     if partition_by:
@@ -85,14 +103,17 @@ def ctas(spark: SparkSession, target: str, source: str, path: str, fmt: str = "o
          compression: str = "snappy", buckets: int | None = None,
          bucket_by: Sequence[str] = ()) -> DataFrame:
     """CREATE TABLE ... USING fmt AS SELECT * FROM source (a distributed copy),
-    optionally hash-bucketed and sorted on ``bucket_by``."""
-    clustered = ""
+    optionally hash-bucketed and sorted on ``bucket_by``, in place of a table of
+    that name.  ``path`` must be new."""
+    clustered, dealt = "", ""
     if buckets and bucket_by:
         cols = ", ".join(f"`{c}`" for c in bucket_by)
         clustered = f" CLUSTERED BY ({cols}) SORTED BY ({cols}) INTO {buckets} BUCKETS"
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {_q(target)} USING {fmt} "
+        dealt = f"/*+ REPARTITION({buckets}, {cols}) */ "  # one bucket per task, as the files are
+    drop_table(spark, target)
+    spark.sql(f"CREATE TABLE {_q(target)} USING {fmt} "
               f"OPTIONS ('compression' '{compression}'){clustered} LOCATION '{path}' "
-              f"AS SELECT * FROM {_q(source)}")
+              f"AS SELECT {dealt}* FROM {_q(source)}")
     return spark.table(target)
 
 
@@ -117,8 +138,8 @@ def schema_ddl(table: str, exclude: Sequence[str] = ()) -> str:
     return ", ".join(cols)
 
 
-def write_report_csv(df: DataFrame, path: str, single_file: bool = True, mode: str = "overwrite") -> None:
-    """Report sink: CSV with a header.  ``single_file`` coalesces to one task;
-    use it only for small report outputs (a few rows per category)."""
+def write_report_csv(df: DataFrame, path: str, single_file: bool = False, mode: str = "overwrite") -> None:
+    """Report sink: CSV with a header.  ``single_file`` sends all rows through
+    one task; only for reports with a fixed number of rows."""
     out = df.coalesce(1) if single_file else df
     out.write.mode(mode).option("header", True).csv(path)

@@ -21,43 +21,42 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from riskloom.functions import avg_money, cents, off_hours_list, pct
+from riskloom.functions import avg_money, money_parts, off_hours_list, pct, sum_money
 from riskloom.session import scratch_path
 from riskloom.sources.tables import transactions
 
 
-def transaction_stream(spark: SparkSession, lineitem_dir: str,
+def transaction_stream(spark: SparkSession, lineitem: str,
                        max_files_per_trigger: int | None = None,
-                       schema: T.StructType | None = None,
-                       file_glob: str | None = None) -> DataFrame:
-    """Streaming source over a folder of lineitem-shaped parquet files,
-    derived to the transactions table.  ``schema`` is needed when the folder
-    is still empty; otherwise it is read from the files present.
-    ``file_glob`` restricts the files taken from the folder."""
+                       schema: T.StructType | None = None) -> DataFrame:
+    """Streaming source over lineitem-shaped parquet files (a folder of them, or
+    one file), derived to the transactions table.  ``schema`` is needed when
+    the folder is still empty; otherwise it is read from the files present."""
     if schema is None:
-        probe = spark.read
-        if file_glob:
-            probe = probe.option("pathGlobFilter", file_glob)
-        schema = probe.parquet(lineitem_dir).schema
+        schema = spark.read.parquet(lineitem).schema
     reader = spark.readStream.schema(schema)
+    path = spark._jvm.org.apache.hadoop.fs.Path(lineitem)
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(path).isDirectory():
+        # a stream reads folders: take the file's, and that file alone
+        reader = reader.option("pathGlobFilter", path.getName())
+        lineitem = path.getParent().toString()
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    if file_glob:
-        reader = reader.option("pathGlobFilter", file_glob)
-    return transactions(reader.parquet(lineitem_dir))
+    return transactions(reader.parquet(lineitem))
 
 
 def channel_risk_running(txns: DataFrame) -> DataFrame:
     """Running per-channel totals and rates (stateful aggregation)."""
+    exact, plain, odd = money_parts("amount")
     agg = txns.groupBy("channel").agg(
         F.count(F.lit(1)).alias("total_transactions"),
         F.sum("is_suspicious_flag").alias("suspicious_transactions"),
-        F.sum(cents("amount")).alias("_cents"),
+        exact.alias("_exact"), plain.alias("_plain"), odd.alias("_odd"),
         F.count("amount").alias("_n"),
     )
     return agg.select(
         "channel", "total_transactions", "suspicious_transactions",
-        avg_money("_cents", "_n", 2).alias("avg_txn_amount"),
+        avg_money("_exact", "_plain", "_odd", "_n", 2).alias("avg_txn_amount"),
         pct("suspicious_transactions", "total_transactions", 2).alias("suspicion_rate_pct"),
     )
 
@@ -67,11 +66,11 @@ def off_hours_running(txns: DataFrame) -> DataFrame:
     agg = (txns.where(F.col("transaction_hour").isin(off_hours_list()))
            .groupBy("transaction_hour").agg(
                F.count(F.lit(1)).alias("txn_count"),
-               F.sum(cents("amount")).alias("_cents"),
+               sum_money("amount", 2).alias("total_amount"),
                F.sum("is_suspicious_flag").alias("suspicious_count")))
     return agg.select(
         "transaction_hour", "txn_count",
-        (F.col("_cents").cast("double") / 100).alias("total_amount"),
+        "total_amount",
         "suspicious_count",
         pct("suspicious_count", "txn_count", 2).alias("suspicion_rate_pct"),
     )
@@ -85,7 +84,7 @@ def start(report: DataFrame, name: str, checkpoint_location: str | None = None,
     has landed and stops; otherwise ``interval`` (e.g. "1 minute") sets a
     processing-time trigger for continuous monitoring."""
     spark = report.sparkSession
-    location = checkpoint_location or scratch_path(spark, f"stream-{name}-{uuid.uuid4().hex[:8]}")
+    location = checkpoint_location or scratch_path(spark, f"stream-{name}")
     writer = (report.writeStream.outputMode("complete").format(sink)
               .option("checkpointLocation", location))
     if sink == "memory":

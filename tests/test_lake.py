@@ -1,6 +1,7 @@
 """Landing CSV -> typed read -> partitioned ORC -> catalog round trip, the
 positional-shift guard, partition discovery and pruning, CTAS, report sink."""
 
+import glob
 import os
 import tempfile
 import uuid
@@ -42,7 +43,7 @@ def test_partitions_discovered_and_pruned(spark, built):
     parts = {r[0] for r in spark.sql(f"SHOW PARTITIONS `{db}`.`loan_applications`").collect()}
     years = {r[0] for r in back.loans.select(S.PARTITION_COLUMN).distinct().collect()}
     assert parts == {f"{S.PARTITION_COLUMN}={y}" for y in years}
-    assert os.path.isdir(f"{root}/tables/loan_applications/{S.PARTITION_COLUMN}={min(years)}")
+    assert glob.glob(f"{root}/tables/loan_applications/load-*/{S.PARTITION_COLUMN}={min(years)}")
     q = spark.table(f"{db}.loan_applications").where(F.col(S.PARTITION_COLUMN) == min(years))
     plan = q._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(disbursement_year" in plan
@@ -160,8 +161,56 @@ def test_partitions_visible_only_after_recovery(spark, built):
     rows until its partitions are registered (MSCK REPAIR TABLE)."""
     _, back, db, root, _ = built
     name = f"{db}.loans_unrepaired"
-    warehouse.register_table(spark, name, f"{root}/tables/loan_applications",
+    warehouse.register_table(spark, name, warehouse.location_of(spark, f"{db}.loan_applications"),
                              warehouse.schema_ddl("loan_applications"), partition_by=[S.PARTITION_COLUMN])
     assert spark.table(name).count() == 0
     warehouse.recover_partitions(spark, name)
     assert spark.table(name).count() == back.loans.count() > 0
+
+
+def _files(root, table):
+    return glob.glob(f"{root}/tables/{table}/load-*/**/part-*", recursive=True)
+
+
+def test_second_load_replaces_all_tables(spark):
+    dom = load_domain(spark, SF001)
+    db = "again_" + uuid.uuid4().hex[:8]
+    root = tempfile.mkdtemp(prefix="riskloom-again-")
+    for buckets in (None, 3):
+        for keep in (0, 1):
+            half = type(dom)(*[t.where(F.crc32(t.columns[0]) % 2 <= keep) for t in (dom.customers, dom.loans, dom.txns)])
+            back = lake.build_lake(spark, lake.land(half, root), root, db, buckets=buckets)
+            for a, b in [(half.customers, back.customers), (half.loans, back.loans), (half.txns, back.txns)]:
+                assert b.count() == a.count() > 0
+            for t in S.SCHEMAS:  # the files that were replaced are gone
+                assert len(glob.glob(f"{root}/tables/{t}/load-*")) == 1
+
+
+@pytest.mark.parametrize("tasks", [20])
+def test_number_of_files_does_not_follow_the_tasks(spark, tasks):
+    dom = load_domain(spark, SF001)
+    dom = type(dom)(dom.customers.repartition(tasks), dom.loans.repartition(tasks), dom.txns.repartition(tasks))
+    years = dom.loans.select("disbursement_year").distinct().count()
+    for buckets in (None, 4):
+        root = tempfile.mkdtemp(prefix="riskloom-files-")
+        lake.build_lake(spark, lake.land(dom, root), root, "files_" + uuid.uuid4().hex[:8], buckets=buckets)
+        assert len(_files(root, "loan_applications")) <= years * (buckets or 1) + (0 if buckets else 2)
+        if buckets:
+            assert len(_files(root, "transactions")) <= buckets
+
+
+def test_malformed_rows_are_kept_and_quarantined(spark):
+    dom = load_domain(spark, SF001)
+    root = tempfile.mkdtemp(prefix="riskloom-bad-")
+    paths = lake.land(dom, root)
+    with open(f"{paths['transactions']}/part-zz.csv", "w") as f:
+        f.write(",".join(S.SCHEMAS["transactions"].names) + "\n")
+        f.write("B1,LN1,NEFT,abc,ATM,2021,1,2,0,0,S\nB2,LN1,NEFT,5.0\n")
+    db = "bad_" + uuid.uuid4().hex[:8]
+    back = lake.build_lake(spark, paths, root, db)
+    assert back.txns.count() == dom.txns.count() + 2
+    assert {r.transaction_id: (r.amount, r.channel) for r in back.txns.where("transaction_id in ('B1', 'B2')").collect()} == \
+        {"B1": (None, "ATM"), "B2": (5.0, None)}
+    assert lake.rejected(spark, db) == {"customer_profiles": 0, "loan_applications": 0, "transactions": 2}
+    assert {r.raw_line for r in spark.table(f"{db}.transactions_rejected").collect()} == \
+        {"B1,LN1,NEFT,abc,ATM,2021,1,2,0,0,S", "B2,LN1,NEFT,5.0"}

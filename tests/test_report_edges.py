@@ -76,6 +76,7 @@ TXNS = (
     + [_txn(f"TS{i}", "L70", "EMI_Payment", 10.0, 0, rev=int(i < 5)) for i in range(9)]  # 9 txns
     + [_txn(f"TQ{i}", "L50", "NEFT", 2.5, 0, rev=int(i < 3), channel="POS") for i in range(20)]  # 15 %
     + [_txn("TN0", "L50", "NEFT", None, 0, channel="POS")]
+    + [_txn(f"TC{i}", "LC0", "NEFT", 0.004, 0, rev=1, hour=2, channel="Sub-cent") for i in range(1000)]
 )
 
 
@@ -137,13 +138,73 @@ def test_edges_are_exercised(spark, fixture):
         [("S1", 3), ("S2", 3)]
     assert {r.loan_id for r in q["aml_structuring_txn_only"](dom).collect()} == {"L10", "L30", "LX9"}
     rev = {r.loan_id for r in q["aml_reversals"](dom).collect()}
-    assert rev == {"L60"}                              # 9 txns and exactly 15 % are out
+    assert rev == {"L60", "LC0"}                       # 9 txns and exactly 15 % are out
     npa = {r.loan_type: r.gross_npa_rate_pct for r in q["gross_npa_rate"](dom).collect()}
     assert npa["Zero"] is None                         # exposure 0 -> NULL, no error
     hr = {r.segment for r in q["high_risk_micro_segments"](dom).collect()}
     assert hr == {"Retail"}                            # 5 risky loans in, 4 out
 
 
+def test_small_amounts_add_up(spark, fixture):
+    dom, _ = fixture
+    volume = {r.loan_id: r.gross_volume for r in domain_queries()["aml_reversals"](dom).collect()}
+    assert volume["LC0"] == 4.0
+
+
+def test_amounts_without_a_decimal(spark):
+    """NaN and infinite amounts give what a sum of doubles gives, and only in their group."""
+    rows = [_txn(f"T{i}", "L1", "NEFT", a, 0, channel=c)
+            for i, (a, c) in enumerate([(1.5, "a"), (float("nan"), "a"), (2.0, "b"), (float("inf"), "b"), (1e300, "c"),
+                                        (1e300, "c"), (0.1, "d"), (0.2, "d"), (1e17, "e"), (1e17, "e"), (0.5, "e")])]
+    dom, _ = _frames(spark, [], [], rows)
+    got = {r.channel: r.avg_txn_amount for r in domain_queries()["channel_risk"](dom).collect()}
+    assert got["a"] != got["a"] and got["b"] == float("inf") and got["c"] == 1e300 and got["d"] == 0.15
+    assert got["e"] == pytest.approx((2 * 10**17 + 0.5) / 3, rel=1e-15)
+
+
+def test_sums_beyond_64_bits_of_cents(spark):
+    """3 * 10^6 rows of 10^13: 3e21 cents do not fit a BIGINT."""
+    from riskloom.functions import sum_money
+
+    assert spark.range(3_000_000).selectExpr("1e13D as amount").agg(sum_money("amount").alias("s")).first().s == 3e19
+
+
+def test_many_copies_of_one_borrower(spark):
+    """200,000 loans times 200,000 copies of their customer: 4e10 joined loans."""
+    from pyspark.sql import functions as F
+
+    from riskloom.plans import pd_curve
+
+    dom, _ = _frames(spark, [_cust("C1", 700)], [_loan("L", "C1", "Home", 1, "Active", 2020, 1, 0)], [])
+    many = spark.range(200_000)
+    loans = dom.loans.crossJoin(many).drop("id")
+    customers = dom.customers.crossJoin(many).drop("id")
+    r = pd_curve.expected_status_mix(loans, customers).first()
+    assert r.loans == 4 * 10**10
+    shares = {"active": 50000, "closed": 25000, "default": 9000, "npa": 3750, "written_off": 1500, "restructured": 4250}
+    for s, w in shares.items():
+        assert abs(r[f"expected_{s}"] / 4e10 - w / sum(shares.values())) < 1e-8
+    plan = pd_curve.expected_status_mix(dom.loans, dom.customers)._jdf.queryExecution().executedPlan().toString()
+    # loans once; customers to be reduced and to meet them
+    assert plan.count("hashpartitioning(customer_id") <= 3
+
+
+def test_half_even_keys_differ_at_ties(spark):
+    """1 of 800 customers is 0.125 %: half-up 0.13, half-even 0.12."""
+    customers = [_cust(f"C{i}", 550 if i == 0 else 820) for i in range(800)]
+    loans = [_loan("L0", "C0", "Home", 1, "NPA", 2020, 1, 0), _loan("L1", "C0", "Home", 799, "Active", 2020, 1, 0)]
+    dom, arrow = _frames(spark, customers, loans, [])
+    con, q = _duck(arrow), domain_queries()
+    for name, up, even in [("gross_npa_rate", 0.13, 0.12), ("credit_score_bands", 0.13, 0.12)]:
+        col = "gross_npa_rate_pct" if name == "gross_npa_rate" else "pct_of_portfolio"
+        for key, want in [(name, up), (f"{name}_pandas", even)]:
+            df = q[key](dom)
+            assert min(r[col] for r in df.collect()) == want
+            cur = con.execute(BODY[key])
+            assert rows_hash(df.columns, [tuple(r) for r in df.collect()]) == \
+                rows_hash([d[0] for d in cur.description], [tuple(r) for r in cur.fetchall()])
+
+
 def test_empty_tables(spark):
     dom, arrow = _frames(spark, [], [], [])
     con = _duck(arrow)

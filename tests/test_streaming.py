@@ -4,8 +4,11 @@ files seen so far."""
 import shutil
 import tempfile
 
+import pytest
+
 from conftest import SF001, SF01
 from riskloom.plans import aml
+from riskloom.plans.registry import all_queries
 from riskloom.sources.tables import transactions
 from riskloom.streaming import aml_monitor
 
@@ -34,3 +37,14 @@ def test_running_reports_match_batch(spark):
     q3.awaitTermination()
     both = transactions(spark.read.parquet(folder))
     assert _rows(spark.table("chan_running2")) == _rows(aml.channel_risk(both))
+
+
+@pytest.mark.parametrize("name", ["channel_risk", "aml_off_hours"])
+def test_streaming_keys_take_a_file_or_a_folder(spark, name):
+    q = all_queries()
+    as_file = [tuple(r) for r in q[f"{name}_streaming"](spark, SF001).collect()]
+    assert as_file == [tuple(r) for r in q[name](spark, SF001).collect()]  # rows and order
+    folder = tempfile.mkdtemp(prefix="riskloom-parts-")
+    for t in ("customer", "nation", "orders", "lineitem"):
+        spark.read.parquet(f"{SF001}/{t}.parquet").repartition(3).write.parquet(f"{folder}/{t}.parquet")
+    assert [tuple(r) for r in q[f"{name}_streaming"](spark, folder).collect()] == as_file
