@@ -26,12 +26,17 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.licenses import words
+from riskloom.llm import licenses
 
 RATE = 0.2
 MIN_WORDS = 5
 
 
+def words(text: str | None) -> list[bytes]:
+    """Lower-cased (in any script) runs of digits, letters and non-ASCII characters."""
+    return licenses.words(text.lower()) if text else []
+
+
 def pieces(n: int, budget: int) -> list[tuple[int, int]]:
     """``budget + 1`` stretches [a, b) that cover ``n`` words."""
     k = budget + 1

@@ -1,7 +1,7 @@
 import pytest
 
 from riskloom.llm import decontam
-from riskloom.llm.licenses import words
+from riskloom.llm.decontam import words
 
 
 def closest(pattern, text):
@@ -84,6 +84,13 @@ def test_all_leaks_found(spark, make_docs, rng, block_items):
     assert sorted(map(str, (r.doc_id for r in left.collect()))) == sorted(str(d) for d, _, _ in rows if d not in dirty)
 
 
+def test_case_of_all_letters(spark, make_docs):
+    item = "Élan été ça où naïve Übung größer mañana señor ÉPÉE"
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    docs = make_docs([(1, "x " + item.upper().replace("SS", "ß") + " y", "s"), (2, item.lower(), "s"), (3, "x y", "s")])
+    assert sorted((r.doc_id, r.distance) for r in decontam.leaks(docs, bench).collect()) == [(1, 0), (2, 0)]
+
+
 def test_empty_tables(spark, make_docs, odd_rows):
     none = spark.createDataFrame([], "item_id long, text string")
     some = spark.createDataFrame([(1, odd_rows[0][1])], "item_id long, text string")

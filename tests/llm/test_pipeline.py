@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__
-from riskloom.llm import bradley_terry, decontam, licenses, mixing, queries
+from riskloom.llm import bradley_terry, decontam, mixing, queries
 from tests.conftest import SF001
 from tests.llm.test_decontam import closest
 from tests.llm.test_simhash import closure, plain
@@ -58,9 +58,9 @@ def test_stages(spark):
 
     clean = stages["benchmark decontamination"](spark, one, SF001)
     assert clean.columns == columns
-    items = [licenses.words(r.text) for r in queries.table(spark, SF001, "benchmark").collect()]
+    items = [decontam.words(r.text) for r in queries.table(spark, SF001, "benchmark").collect()]
     leaky = {i for i in set(first) for p in items
-             if closest(p, licenses.words(rows[i].text))[0] <= int(decontam.RATE * len(p))}
+             if closest(p, decontam.words(rows[i].text))[0] <= int(decontam.RATE * len(p))}
     left = sorted(r.doc_id for r in clean.collect())
     assert left == sorted(set(first) - leaky)
 
