@@ -1,7 +1,8 @@
 """Benchmark decontamination by pigeonhole edit matching.
 
 Texts and items are sequences of words (lower-cased runs of digits, letters and non-ASCII
-characters).  An item leaks into a document if some stretch of the document
+characters; in scripts written without blanks every character is a word, and their
+punctuation separates).  An item leaks into a document if some stretch of the document
 is within ``e`` word insertions, deletions or replacements of it, ``e`` being ``rate`` of
 the item's length.  Cut into ``e + 1`` pieces, an item within the budget leaves one piece
 intact; so all exact piece hits (one Aho-Corasick pass over the whole text) point to all
@@ -12,14 +13,15 @@ size is bounded) and gets one pass over the documents.  Documents are not shuffl
 documents share costs each of them its own hits only: windows that overlap are merged
 and verified once.
 
-Defined cases: null and empty texts match nothing; items with fewer than ``min_words`` words
-tell nothing and are not searched; repeated rows of documents or items give repeated pairs; of several
+Defined cases: null and empty texts and items without a word match nothing; items with fewer than
+``min_words`` words must occur exactly; repeated rows of documents or items give repeated pairs; of several
 stretches the closest counts, then the first.  Only the named columns are read.
 """
 
 from __future__ import annotations
 
 import bisect
+import re
 from collections.abc import Iterator
 
 import pandas as pd
@@ -31,10 +33,23 @@ from riskloom.llm import licenses
 RATE = 0.2
 MIN_WORDS = 5
 
+# Thai, Lao, Tibetan, Myanmar; Khmer; Tai scripts, Balinese; CJK radicals, ideographs, kana, bopomofo; Yi;
+# Javanese, Myanmar and Tai extensions; compatibility ideographs; half-width kana; ideographs and kana beyond U+FFFF
+_UNSPACED = ("\u0e00-\u109f\u1780-\u17ff\u1950-\u19ff\u1a20-\u1aaf\u1b00-\u1b7f\u2e80-\u2fdf\u3005-\u3007\u3021-\u302f"
+             "\u3031-\u303c\u3041-\u312f\u31a0-\u31bf\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\ua000-\ua4cf\ua980-\ua9ff"
+             "\uaa60-\uaadf\uf900-\ufaff\uff66-\uff9f\U0001aff0-\U0001b16f\U00020000-\U0003ffff")
+_STOPS = ("\u0e5a\u0e5b\u0f0b-\u0f14\u104a\u104b\u17d4-\u17da\u3000-\u3003\u3008-\u3020\u3030\u303d\u30a0\u30fb"
+          "\uff01-\uff0f\uff1a-\uff20\uff3b-\uff40\uff5b-\uff65")
+_APART = re.compile(f"[{_STOPS}]+|([{_UNSPACED}])[\u200b-\u200d\u2060\ufe00-\ufe0f\ufeff\U000e0100-\U000e01ef]*")
+
 
 def words(text: str | None) -> list[bytes]:
-    """Lower-cased (in any script) runs of digits, letters and non-ASCII characters."""
-    return licenses.words(text.lower()) if text else []
+    """Lower-cased (in any script) runs of digits, letters and non-ASCII characters;
+    single characters of scripts written without blanks."""
+    if not text:
+        return []
+    text = text.lower()
+    return licenses.words(text if text.isascii() else _APART.sub(r" \1 ", text))
 
 
 def pieces(n: int, budget: int) -> list[tuple[int, int]]:
@@ -83,9 +98,9 @@ class Matcher:
         self.automaton = ahocorasick.Automaton()
         for key, text in items:
             found = words(text)
-            if len(found) < min_words:
+            if not found:
                 continue
-            budget = int(rate * len(found))
+            budget = int(rate * len(found)) if len(found) >= min_words else 0
             for a, b in pieces(len(found), budget):
                 # one character per byte, blanks around: whole words only
                 piece = (b" " + b" ".join(found[a:b]) + b" ").decode("latin-1")

@@ -98,3 +98,21 @@ def test_empty_tables(spark, make_docs, odd_rows):
     assert decontam.clean(make_docs(odd_rows), none).count() == len(odd_rows)
     assert decontam.leaks(make_docs([]), some).collect() == []
     assert sorted(map(str, (r.doc_id for r in decontam.leaks(make_docs(odd_rows), some).collect() if r.distance == 0)))[:2] == ["1", "2"]
+
+
+def test_scripts_without_blanks(spark, make_docs):
+    items = [(1, "水の沸点は何度ですか。摂氏百度です。"), (2, "เมืองหลวงของประเทศไทยคือกรุงเทพ"), (3, "光合作用发生在哪里？叶绿体"), (4, "何時")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    near = items[2][1].replace("哪里？", "何处， ")  # two characters of twelve
+    rows = [(1, "前書き" + items[0][1] + "後書き", "s"), (2, "x" + items[1][1] + "\u200b" + "จบ", "s"), (3, f"问题：{near}。", "s"),
+            (4, "今何時ですか", "s"), (5, "何の時", "s"), (6, items[0][1][:7], "s")]
+    got = sorted((r.doc_id, r.item_id, r.distance) for r in decontam.leaks(make_docs(rows), bench).collect())
+    assert got == [(1, 1, 0), (2, 2, 0), (3, 3, 2), (4, 4, 0)]
+    assert [r.doc_id for r in decontam.clean(make_docs(rows), bench).orderBy("doc_id").collect()] == [5, 6]
+
+
+@pytest.mark.parametrize("rate", [0.2, 0.5])
+def test_short_items_match_exactly(spark, make_docs, rate):
+    bench = spark.createDataFrame([(1, "four words in all"), (2, "!?")], "item_id long, text string")
+    docs = make_docs([(1, "so Four words, in all.", "s"), (2, "four words at all", "s"), (3, "four words in", "s"), (4, "!?", "s")])
+    assert [(r.doc_id, r.item_id, r.distance) for r in decontam.leaks(docs, bench, rate=rate).collect()] == [(1, 1, 0)]
