@@ -40,7 +40,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of every document of the mix, read back
     from its token shards."""
-    return wavelet.documents(wavelet.write(docs, TOKENIZER, end_id=END_ID))
+    return wavelet.documents(wavelet.write(docs, TOKENIZER, end_id=END_ID, added_tokens=True))
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -46,7 +46,7 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32, read back from the shards."""
-    return wavelet.documents(wavelet.write(table(spark, sf_dir, "documents"), TOKENIZER, end_id=END_ID))
+    return wavelet.documents(wavelet.write(table(spark, sf_dir, "documents"), TOKENIZER, end_id=END_ID, added_tokens=True))
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

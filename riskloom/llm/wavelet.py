@@ -21,6 +21,10 @@ characters: no token of a byte-level tokenizer that splits words before their
 blank reaches across such a place, so each distinct stretch needs encoding only once per
 worker (a bounded memory of ``MEMO`` stretches).
 
+The strings of the file's added tokens (as ``<|endoftext|>``) are ordinary text unless ``added_tokens``
+is set (op3 and the pipeline set it): then they become those tokens' ids, as the library does by itself, and a
+text that holds one goes through the library whole.
+
 Defined cases: a null text is empty and has the end id alone; rows that tie on the id go
 by a hash of their text; null ids come first; repeated rows are separate documents; an empty table gives
 no shards.  Only the named columns are read.
@@ -207,22 +211,23 @@ class Encoder:
     and what follows, or ``_FIRST`` and the text's first stretch.
     """
 
-    _made: dict[str, Encoder] = {}
+    _made: dict[tuple[str, bool], Encoder] = {}
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, added_tokens: bool = False) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = not added_tokens  # else their strings in a text are ordinary text
+        self.whole = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()] if added_tokens else []
         self._newline = self._piece("\n")
         self._forget()
 
     @classmethod
-    def of(cls, path: str) -> Encoder:
+    def of(cls, path: str, added_tokens: bool = False) -> Encoder:
         """One per worker process, so that what it remembers serves later tasks."""
-        if path not in cls._made:
-            cls._made[path] = cls(path)
-        return cls._made[path]
+        if (path, added_tokens) not in cls._made:
+            cls._made[path, added_tokens] = cls(path, added_tokens)
+        return cls._made[path, added_tokens]
 
     def _forget(self) -> None:
         self.known: dict[str, int] = {}
@@ -299,6 +304,16 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text."""
+        held = [i for i, t in enumerate(texts) if any(w in t for w in self.whole)]
+        if not held:
+            return self._encode(texts)
+        lib = self.tokenizer.encode_batch_fast([texts[i] for i in held], add_special_tokens=False)
+        whole = {i: np.array(e.ids, np.uint32) for i, e in zip(held, lib)}
+        rest = [t for i, t in enumerate(texts) if i not in whole]
+        others = iter(self._encode(rest) if rest else [])
+        return [whole[i] if i in whole else next(others) for i in range(len(texts))]
+
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
         flat, sizes, which = self.keys(texts)
         if len(self.known) > MEMO:
             self._forget()
@@ -324,14 +339,14 @@ SHARDS = "part int, shard int, n_tokens long, doc_ids array<long>, doc_sizes arr
 
 
 def encode(docs: DataFrame, tokenizer: str, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text",
-           shard_tokens: int = SHARD_TOKENS, batch_chars: int = 4_000_000) -> DataFrame:
+           shard_tokens: int = SHARD_TOKENS, batch_chars: int = 4_000_000, added_tokens: bool = False) -> DataFrame:
     """Shard rows of ``docs``: their part (an id range), number within it,
     directory and blob."""
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
 
         part, shard = TaskContext.get().partitionId(), 0
-        encoder = Encoder.of(tokenizer)
+        encoder = Encoder.of(tokenizer, added_tokens)
         ids: list[np.ndarray] = []  # documents not yet in a shard
         keys: list[int | None] = []
         held = 0

@@ -78,3 +78,19 @@ def test_texts_with_odd_spaces(make_docs):
 
 def test_empty_table(make_docs):
     assert wavelet.documents(wavelet.write(make_docs([]), TOKENIZER)).collect() == []
+
+
+def test_added_tokens_as_the_library_reads_them(spark, make_docs, tmp_path):
+    import corpus_pipeline
+    from riskloom.llm import queries
+
+    texts = [*TEXTS, "<|endoftext|>", "a<|endoftext|>b. <|endoftext|>\n\nc", "<|endoftext|", "x <|endoftext|><|endoftext|> "]
+    make_docs([(i, t, "s") for i, t in enumerate(texts)]).write.parquet(f"{tmp_path}/documents.parquet")
+    library, at, want = Tokenizer.from_file(TOKENIZER), 0, []
+    for i, t in enumerate(texts):
+        ids = [*library.encode(t, add_special_tokens=False).ids, 2]
+        want.append((i, at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        at += len(ids)
+    assert sorted(map(tuple, queries.op3_wavelet_tokens(spark, str(tmp_path)).collect())) == want
+    docs = queries.table(spark, str(tmp_path), "documents")
+    assert sorted(map(tuple, corpus_pipeline.token_ids(spark, docs, "").collect())) == want
