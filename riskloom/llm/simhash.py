@@ -71,8 +71,9 @@ def fingerprint_column(text: Column, k: int = 3) -> Column:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 3) -> DataFrame:
-    """(doc_id, fp) per row of ``docs``."""
-    return docs.select(F.col(id_col).alias("doc_id"), fingerprint_column(F.col(text_col), k).alias("fp"))
+    """(doc_id, h, fp) per row of ``docs``; ``h`` is a hash of the text."""
+    return docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("h"),
+                       fingerprint_column(F.col(text_col), k).alias("fp"))
 
 
 def hex_digits(fp: Column) -> Column:
@@ -202,16 +203,17 @@ def link_points(points: DataFrame, max_bits: int = 2, shard_points: int = 2048,
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 3, max_bits: int = 2,
                     **search) -> DataFrame:
-    """(doc_id, fp, component_id) per row of ``docs``: the smallest id reachable
-    over links of at most ``max_bits`` differing bits."""
+    """(doc_id, h, fp, component_id, component) per row of ``docs``: the smallest id reachable
+    over links of at most ``max_bits`` differing bits.  ``component`` names the group, also
+    where all its ids are null."""
     spark = docs.sparkSession
     fps, _ = save_scratch(fingerprints(docs, id_col, text_col, k), "simhash-fps")
     return cluster(fps, max_bits, **search)
 
 
 def cluster(fps: DataFrame, max_bits: int = 2, **search) -> DataFrame:
-    """``near_duplicates`` from (doc_id, fp), which should be a written table:
-    it is read twice."""
+    """``near_duplicates`` from (doc_id, fp) and any other columns, which should be a written
+    table: it is read twice."""
     points, _ = save_scratch(fps.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-points")
     # a point is named by its fingerprint, so that ids may repeat or be null
     edges = link_points(points.select("fp", F.col("fp").alias("id")), max_bits, **search)
@@ -219,14 +221,15 @@ def cluster(fps: DataFrame, max_bits: int = 2, **search) -> DataFrame:
     named = points.join(found, F.col("fp") == F.col("node"), "left").select(
         "fp", "first", F.coalesce("component", "fp").alias("component"))
     smallest = named.groupBy("component").agg(F.min("first").alias("component_id")).withColumnRenamed("component", "c")
-    classes = named.join(smallest, F.col("component") == F.col("c")).select(F.col("fp").alias("f"), "component_id")
-    return fps.join(classes, F.col("fp") == F.col("f")).select("doc_id", "fp", "component_id")
-
-
-def representatives(docs: DataFrame, classes: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """One document of each class: the rows whose id is their component's
-    smallest (repeated rows of that id: one of them).  Documents without an id
-    belong to no class and stay."""
-    keep = classes.filter("doc_id = component_id").select(F.col("doc_id").alias("_kept_id")).distinct()
-    kept = docs.join(keep, F.col(id_col) == F.col("_kept_id"), "left_semi")
-    return kept.dropDuplicates([id_col]).union(docs.filter(F.col(id_col).isNull()))
+    classes = named.join(smallest, F.col("component") == F.col("c")).select(F.col("fp").alias("f"), "component_id", "component")
+    return fps.join(classes, F.col("fp") == F.col("f")).select(*fps.columns, "component_id", "component")
+
+
+def representatives(docs: DataFrame, classes: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of each component of ``classes`` (``near_duplicates(docs)``): that with the smallest id
+    (null last), then the smallest hash of the text; of repeated rows of that one of them."""
+    keep = classes.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "h")).alias("first")) \
+        .select(F.col("first.doc_id").alias("_kept_id"), F.col("first.h").alias("_kept_text"))
+    rows = docs.withColumn("_text", F.xxhash64(text_col))
+    kept = rows.join(keep, F.col(id_col).eqNullSafe(F.col("_kept_id")) & (F.col("_text") == F.col("_kept_text")), "left_semi")
+    return kept.dropDuplicates([id_col, "_text"]).drop("_text")

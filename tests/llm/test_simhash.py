@@ -108,3 +108,17 @@ def test_components(spark, rng):
             root[y] = x
     assert out == {x: find(x) for x in root}
     assert components(spark.createDataFrame([], "u long, v long")).collect() == []
+
+
+def test_representatives_of_rows_that_share_an_id(make_docs, rng):
+    from tests.llm.conftest import prose
+
+    a, b, c, d = (prose(rng, 80) for _ in range(4))
+    # id 1 has two texts; b is also 2's; c and d have no id, c twice; a has a copy without an id
+    rows = [(1, a, "s"), (1, b, "s"), (2, b, "s"), (None, c, "s"), (None, c, "s"), (None, d, "s"), (None, a, "s"), (3, None, "s"), (None, "", "s")]
+    for order in (rows, rows[::-1]):
+        docs = make_docs(order)
+        out = simhash.representatives(docs, simhash.near_duplicates(docs))
+        assert out.columns == docs.columns
+        got = sorted(((r.doc_id, r.text) for r in out.collect()), key=str)
+        assert got == sorted([(1, a), (1, b), (None, c), (None, d), (3, None)], key=str)
