@@ -28,7 +28,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskloom.session import save_scratch, shuffle_partitions
+from riskloom.session import materialize, save_scratch, shuffle_partitions
 
 WORD = r"[^\x20\x09-\x0D]+"
 MARKUP = "#$%&*|!<>{}[]_=~^\\"
@@ -84,14 +84,14 @@ def source_targets(sized: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         quality: Column | None = None, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.0,
         cap: float = 3.0, seed: int = 17, max_rounds: int = 4) -> DataFrame:
-    """doc_id, source, size, source_size, target, key, copies, taken: how often the mix
+    """doc_id, source, size, source_size, target, key, copies, taken, text_hash: how often the mix
     takes each document, and the words that makes.  ``quality`` (default:
     ``plain_share``) weighs documents within a source; it must be positive."""
     spark = docs.sparkSession
     quality = plain_share(F.col(text_col)) if quality is None else quality
     sized = docs.select(
         F.col(id_col).alias("doc_id"), F.col(source_col).alias("src"), word_count(F.col(text_col)).alias("size"),
-        (-F.log(uniform(F.col(id_col), seed)) / quality).alias("key"))
+        (-F.log(uniform(F.col(id_col), seed)) / quality).alias("key"), F.xxhash64(text_col).alias("text_hash"))
     # The texts are read once; every later pass reads these narrow rows.
     sized, _ = save_scratch(sized, "mix-sizes")
     targets = save_scratch(source_targets(sized, weights, share, cap), "mix-targets")[0]
@@ -116,11 +116,11 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         rows = rows.filter("size <= left")
     else:
         decided.append(rows.withColumn("extra", F.lit(0)))
-    columns = ("doc_id", "src", "size", "source_size", "target", "key", "full", "extra")
+    columns = ("doc_id", "src", "size", "source_size", "target", "key", "full", "extra", "text_hash")
     out = reduce(DataFrame.union, [d.select(*columns) for d in decided])
     copies = F.col("full") + F.col("extra")
     return out.select("doc_id", F.col("src").alias("source"), "size", "source_size", "target", "key",
-                      copies.alias("copies"), (F.col("size") * copies).alias("taken"))
+                      copies.alias("copies"), (F.col("size") * copies).alias("taken"), "text_hash")
 
 
 _ORDER = ("key", "doc_id", "size")
@@ -138,11 +138,24 @@ def _fitting(rows: DataFrame) -> DataFrame:
     return joined.withColumn("fits", F.col("offset") + F.col("inside") <= F.col("left")).drop("s", "p", "offset", "inside")
 
 
-def take(docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The mixed corpus: each document as often as the mix takes it (rows that
-    repeat an id are each taken that often).  ``mixed`` is ``mix(docs)``."""
-    plan = mixed.groupBy(F.col("doc_id").alias("_mix_id")).agg(F.max("copies").alias("_mix_copies")) \
-        .filter("_mix_copies > 0")
-    joined = docs.join(plan, F.col(id_col).eqNullSafe(F.col("_mix_id")))
-    joined = joined.withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), F.col("_mix_copies"))))
+def take(docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+         source_col: str = "source") -> DataFrame:
+    """The mixed corpus: each row as often as the mix takes it.  ``mixed`` is ``mix(docs)``.  Rows
+    with the same id, source and text are equal: of those, as many are taken once more as the mix decided."""
+    plan = materialize(mixed.groupBy(F.col("doc_id").alias("_mix_id"), F.col("source").alias("_mix_source"),
+                                     F.col("text_hash").alias("_mix_text")).agg(
+        F.min("copies").alias("_mix_copies"), F.max("copies").alias("_mix_most"), F.sum("copies").alias("_mix_all"),
+        F.count(F.lit(1)).alias("_mix_rows")), "mix-plan")
+    rows = docs.withColumn("_mix_hash", F.xxhash64(text_col))
+    mine = F.col(id_col).eqNullSafe(F.col("_mix_id")) & F.col(source_col).eqNullSafe(F.col("_mix_source")) \
+        & (F.col("_mix_hash") == F.col("_mix_text"))
+    joined = rows.join(plan.filter("_mix_copies = _mix_most and _mix_copies > 0"), mine)
+    # equal rows of which the mix takes only some once more: one such group at most in a source's round
+    split = plan.filter("_mix_copies <> _mix_most")
+    if not split.isEmpty():
+        number = F.row_number().over(Window.partitionBy("_mix_id", "_mix_source", "_mix_text").orderBy(F.lit(0)))
+        more = number <= F.col("_mix_all") - F.col("_mix_copies") * F.col("_mix_rows")
+        some = rows.join(split, mine).withColumn("_mix_copies", (F.col("_mix_copies") + more.cast("int")).cast("int"))
+        joined = joined.withColumn("_mix_copies", F.col("_mix_copies").cast("int")).union(some.filter("_mix_copies > 0"))
+    joined = joined.withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), F.col("_mix_copies").cast("int"))))
     return joined.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -84,3 +84,27 @@ def test_take_repeats_rows(make_docs, odd_rows):
     for r in out.collect():
         got[r.doc_id] += 1
     assert got == {i: k * copies[i] for i, k in rows.items() if copies[i]}
+
+
+def test_take_keeps_to_the_budget_of_rows_that_share_an_id(make_docs, rng):
+    rows = [(None, " ".join(["w"] * rng.randint(1, 60)), rng.choice(["a", "b"])) for _ in range(300)]
+    rows += [(7, "same text here", "b")] * 120 + [(8, "w " * 12_000, "a")]
+    docs = make_docs(rows)
+    mixed = mixing.mix(docs)
+    want, got, decided = defaultdict(int), defaultdict(int), defaultdict(set)
+    for r in mixed.collect():
+        want[r.source] += r.taken
+        decided[r.doc_id].add(r.copies)
+    assert len(decided[None]) > 1 and len(decided[7]) > 1  # some of these rows are taken more often than others
+    times = defaultdict(int)
+    for r in mixing.take(docs, mixed).collect():
+        got[r.source] += SIZE(r.text)
+        times[r.doc_id, r.source, r.text] += 1
+    assert got == want
+    per_row = defaultdict(int)
+    for r in mixed.collect():
+        per_row[r.doc_id, r.source, r.size] += r.copies
+    taken = defaultdict(int)
+    for (i, s, t), n in times.items():
+        taken[i, s, SIZE(t)] += n
+    assert taken == {k: n for k, n in per_row.items() if n}
