@@ -7,7 +7,8 @@ a rest takes every document ``e`` times; the rest goes to the documents with
 the smallest exponential keys ``-ln(u) / quality``, taken in key order while
 the running word count stays within the rest.  Documents are taken whole: where the
 next one does not fit, the words still missing are a new budget for the documents that
-are small enough for it, in key order again, for up to ``max_rounds`` rounds.
+are small enough for it, in key order again, until none is.  (A round takes at least the first of
+them in each source still open, so the rounds end.)
 
 Nothing is ordered in one task: documents are range-partitioned by
 (source, key), each partition adds up its words per source, and a row's
@@ -83,7 +84,7 @@ def source_targets(sized: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         quality: Column | None = None, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.0,
-        cap: float = 3.0, seed: int = 17, max_rounds: int = 4) -> DataFrame:
+        cap: float = 3.0, seed: int = 17) -> DataFrame:
     """doc_id, source, size, source_size, target, key, copies, taken, text_hash: how often the mix
     takes each document, and the words that makes.  ``quality`` (default:
     ``plain_share``) weighs documents within a source; it must be positive."""
@@ -103,7 +104,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     rows = placed.join(budgets, F.col("src").eqNullSafe(F.col("s"))).drop("s")
     rows, _ = save_scratch(rows, "mix-order")
     decided = []
-    for _ in range(max_rounds):
+    while True:
         marked, _ = save_scratch(_fitting(rows), "mix-round")
         if decided and marked.isEmpty():
             break
@@ -114,8 +115,6 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
             .withColumn("left", F.col("left") - F.coalesce("used", F.lit(0))).drop("used")
         decided.append(rows.filter("size > left").withColumn("extra", F.lit(0)))
         rows = rows.filter("size <= left")
-    else:
-        decided.append(rows.withColumn("extra", F.lit(0)))
     columns = ("doc_id", "src", "size", "source_size", "target", "key", "full", "extra", "text_hash")
     out = reduce(DataFrame.union, [d.select(*columns) for d in decided])
     copies = F.col("full") + F.col("extra")

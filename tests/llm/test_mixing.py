@@ -108,3 +108,15 @@ def test_take_keeps_to_the_budget_of_rows_that_share_an_id(make_docs, rng):
     for (i, s, t), n in times.items():
         taken[i, s, SIZE(t)] += n
     assert taken == {k: n for k, n in per_row.items() if n}
+
+
+def test_filling_ends_only_when_nothing_fits(make_docs):
+    from hashlib import md5
+
+    # in key order one word, then a document just too long for what is left, and so on: a round takes one word
+    sizes = [n for j in range(8) for n in (1, 100 - j)]
+    order = sorted(range(16), key=lambda i: md5(f"17:{i}".encode()).hexdigest()[:13], reverse=True)
+    rows = [(i, "w " * n, "b") for i, n in zip(order, sizes)] + [(100, "w " * 1000, "a")]
+    share = 100.5 * 7 / 2 / (1000 + sum(sizes))  # "b" gets 100.5 words
+    out = [r for r in mixing.mix(make_docs(rows), share=share).collect() if r.source == "b"]
+    assert sorted(r.size for r in out if r.copies) == [1] * 8 and max(r.copies for r in out) == 1
