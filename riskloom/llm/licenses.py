@@ -10,8 +10,8 @@ words lies whole in a block, whatever its line breaks; templates must not be lon
 The join is exact and filtered: the templates' words are ordered by the number of
 blocks in the whole corpus that hold them, rare first.  A block that shares ``a`` of a template's ``t``
 words holds one of its ``t - a + 1`` rarest (prefix filter); a block with fewer than ``a``
-distinct words is out (length filter); and with the i-th rarest as the first one
-shared, at most ``t - i`` can be (positional filter).  Only the rest are counted.
+distinct words is out (length filter).  With the i-th rarest as the first one shared, at most ``t - i``
+can be (positional bound), which the prefix already implies.  Only the rest are counted.
 Templates are a fixed small parameter, so blocks never leave the task that reads
 their text; nothing is shuffled but the words' counts.
 
