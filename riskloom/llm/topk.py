@@ -7,7 +7,7 @@ are not zero there; the queries scatter their weight times the postings into a
 dense array of scores, one term after the other.  The k best of the block are selected
 from that array, and a window over the blocks' winners merges them.
 
-Defined cases: vectors that are null or hold a null or non-finite component
+Defined cases: rows with a null id, and vectors that are null or hold a null or non-finite component,
 take no part; vectors of different length meet in the dimensions they share;
 an empty vector scores 0 with all; equal scores go to the smaller id; a row
 is not compared with rows of its own id; rows that repeat an id are
