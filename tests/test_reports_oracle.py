@@ -3,7 +3,7 @@ names, types and exact values), plus cross-report invariants."""
 
 import pytest
 
-from conftest import SF001
+from tests.conftest import SF001
 from riskloom.oracle.compare import compare
 
 from __spark_entry__ import entry, oracle_sql, queries
@@ -78,7 +78,7 @@ def test_dpd_bucket_counts_add_to_active(spark):
 
 @pytest.mark.parametrize("limit", [1, 100, 257, 1000, None])
 def test_ranking_is_one_path_for_all_limits(spark, duck01, limit):
-    from conftest import SF01
+    from tests.conftest import SF01
     from riskloom.oracle.compare import rows_hash
     from riskloom.plans import trends
     from riskloom.sources.tables import load_domain

@@ -6,7 +6,7 @@ import tempfile
 
 import pytest
 
-from conftest import SF001, SF01
+from tests.conftest import SF001, SF01
 from riskloom.plans import aml
 from riskloom.plans.registry import all_queries
 from riskloom.sources.tables import transactions
