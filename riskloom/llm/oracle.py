@@ -193,6 +193,32 @@ FROM t LEFT JOIN base USING (doc_id) LEFT JOIN method USING (doc_id)
 
 LICENSES = _licenses()
 
+RANKED = f"""
+WITH d AS (
+  SELECT doc_id, ROW_NUMBER() OVER () AS r,
+         regexp_extract_all(translate(COALESCE(text, ''), '{_UPPER}', '{_LOWER}'),
+                            '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w FROM documents
+), b AS (
+  SELECT item_id, UNNEST(regexp_extract_all(translate(COALESCE(text, ''), '{_UPPER}', '{_LOWER}'),
+                                            '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM benchmark
+), asked AS (SELECT item_id, term, COUNT(*) AS reps FROM b GROUP BY ALL),
+total AS (SELECT COUNT(*) AS docs, SUM(len(w)) AS terms FROM d WHERE len(w) > 0),
+each AS (SELECT doc_id, r, len(w) AS n, UNNEST(w) AS term FROM d),
+counts AS (SELECT doc_id, r, n, term, COUNT(*) AS tf FROM each WHERE term IN (SELECT term FROM asked) GROUP BY ALL),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln((2.0::DOUBLE * docs + 2) / (2 * COUNT(*) + 1))) AS BIGINT) AS weight
+  FROM counts, total GROUP BY term, docs
+), impacts AS (
+  SELECT doc_id, r, term, weight * (1000000000 * tf // (1000 * tf + 8 * (25 + 75 * n * docs // terms))) AS impact
+  FROM counts JOIN weights USING (term), total
+), scored AS (
+  SELECT item_id, doc_id, r, CAST(SUM(reps * impact) AS BIGINT) AS score FROM asked JOIN impacts USING (term) GROUP BY ALL
+)
+SELECT item_id, CAST(ROW_NUMBER() OVER best AS INTEGER) AS rank, doc_id, score FROM scored WHERE score > 0
+WINDOW best AS (PARTITION BY item_id ORDER BY score DESC, doc_id)
+QUALIFY ROW_NUMBER() OVER best <= 10
+"""
+
 ORACLE: dict[str, str] = {
     "op1_line_dedup": LINE_DEDUP,
     "op2_mixing": MIXING,
@@ -200,4 +226,5 @@ ORACLE: dict[str, str] = {
     "op7_topk": TOPK,
     "op8_url_filter": URLS,
     "op9_licenses": LICENSES,
+    "op11_ranked_search": RANKED,
 }

@@ -8,12 +8,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import (bradley_terry, decontam, licenses, line_dedup, mixing, simhash, topk, url_reputation, warc,
-                          wavelet)
+from riskloom.llm import (bradley_terry, decontam, licenses, line_dedup, mixing, ranked_search, simhash, text_cnn, topk,
+                          url_reputation, warc, wavelet, whitening)
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 END_ID = 2
 REJECT_BELOW = 0.3
+TOXIC_FROM = 0.3
 
 RULES = [
     url_reputation.Rule("allow", "com", "/"),
@@ -90,6 +91,25 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """item_id, rank, doc_id, score."""
+    return ranked_search.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """vec_id, component, n, deviation, whitened, explained, identity_error."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), k=16)
+
+
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, held_out, score, predicted."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    classifier = text_cnn.train(docs, labels.filter(~text_cnn.held_out(F.col("doc_id"))), cut=TOXIC_FROM)
+    scored = docs.select("doc_id", text_cnn.held_out(F.col("doc_id")).alias("held_out"),
+                         text_cnn.score_column(classifier, F.col("text")).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= TOXIC_FROM).cast("int"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_line_dedup, op2_mixing, op3_wavelet_tokens, op4_simhash, op5_quality, op6_warc, op7_topk,
-                            op8_url_filter, op9_licenses, op10_decontamination)}
+                            op8_url_filter, op9_licenses, op10_decontamination, op11_ranked_search, op12_whitening, op13_toxicity)}

@@ -1,0 +1,110 @@
+import math
+
+import numpy as np
+import pytest
+
+from riskloom.llm import whitening
+from tests.conftest import SF001
+
+
+def want(rows, k=16):
+    """Exact deviations, and numpy's eigenvectors of the covariance of distinct x."""
+    ok = [(i, [math.floor(64 * float(np.float32(c))) + 1_000_000 for c in v]) for i, v in rows
+          if v is not None and all(c is not None and math.isfinite(c) for c in v)]
+    d = max((len(x) for _, x in ok), default=0)
+    ok = [(i, x + [1_000_000] * (d - len(x))) for i, x in ok]
+    fit = sorted({tuple(x) for _, x in ok})
+    n, sums = len(fit), [sum(c) for c in zip(*fit)]
+    centred = np.array([[n * c - s for c, s in zip(x, sums)] for x in fit], float) / max(n, 1)
+    values, vectors = np.linalg.eigh(centred.T @ centred / n) if n and d else (np.zeros(0), np.zeros((0, 0)))
+    order = np.argsort(-values)[:k]
+    dev = {tuple(x): sum((n * c - s) ** 2 for c, s in zip(x, sums)) for x in fit}
+    return ok, n, np.array(sums), dev, values[order], vectors[:, order], values.sum()
+
+
+def check(spark, rows, k=16):
+    frame = spark.createDataFrame([(i, v, 1, "x") for i, v in rows], "vec_id long, embedding array<float>, n int, whitened string")
+    got = whitening.whiten(frame, k).collect()
+    ok, n, sums, dev, values, vectors, trace = want(rows, k)
+    k = min(k, int((values > max(values.max(initial=0) * 1e-12, 0)).sum()))
+    assert len(got) == len(ok) * k
+    if not got:
+        return got
+    assert {r.component for r in got} == set(range(1, k + 1)) and {r.n for r in got} == {n}
+    assert len({r.identity_error for r in got}) == 1 and got[0].identity_error < 1e-9
+    for r in got:
+        assert math.isclose(r.explained, values[r.component - 1] / trace, rel_tol=1e-9)
+    x = {}
+    for i, v in ok:
+        x.setdefault(i, []).append(tuple(v))
+    for c in range(1, k + 1):
+        mine = [(r.vec_id, r.deviation, r.whitened) for r in got if r.component == c]
+        both = sorted((str(i), dev[v], ((n * np.array(v) - sums) / n) @ vectors[:, c - 1] / math.sqrt(values[c - 1]))
+                      for i, vs in x.items() for v in vs)
+        assert sorted((str(i), d) for i, d, _ in mine) == [(i, d) for i, d, _ in both]
+        if c == k or values[c - 1] - values[c] > 1e-6 * values[c - 1]:
+            if c > 1 and values[c - 2] - values[c - 1] <= 1e-6 * values[c - 2]:
+                continue
+            a = sorted((str(i), d, abs(w)) for i, d, w in mine)
+            assert np.allclose([w for _, _, w in a], [abs(w) for *_, w in sorted(((i, d, abs(w)) for i, d, w in both))], atol=1e-7)
+    return got
+
+
+def test_against_numpy(spark):
+    rng = np.random.default_rng(3)
+    mix = rng.standard_normal((24, 24)) * np.geomspace(3, 0.05, 24)
+    rows = [(i, (rng.standard_normal(24) @ mix).tolist()) for i in range(600)]
+    rows += [(1000 + i, rows[i][1]) for i in range(100)] + [(None, rows[0][1]), (5, rows[7][1])]
+    check(spark, rows)
+    check(spark, rows, k=3)
+
+
+def test_odd_vectors(spark):
+    rng = np.random.default_rng(4)
+    good = [(i, rng.standard_normal(5).tolist()) for i in range(30)]
+    odd = [(50, None), (51, [1.0, None, 0.0, 0.0, 0.0]), (52, [float("nan")] * 5), (53, [float("inf"), 0.0, 0.0, 0.0, 0.0]), (54, []), (55, [2.0, 1.0])]
+    assert check(spark, good + odd)
+    assert check(spark, []) == [] and check(spark, odd[:4]) == []
+    assert check(spark, [(1, [1.0, 2.0]), (2, [1.0, 2.0])]) == []  # no variance
+    assert check(spark, [(1, [])]) == []
+    assert check(spark, [(1, [1.0]), (2, [5.0]), (3, [2.0])])
+    flat = [(i, [float(i % 7), 3.0, float(i % 7), float(i % 3)]) for i in range(40)]  # rank 2 in 4 dimensions
+    assert {r.component for r in check(spark, flat)} == {1, 2}
+
+
+def test_given_table(spark):
+    rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{SF001}/embeddings.parquet").collect()]
+    check(spark, rows)
+
+
+@pytest.mark.parametrize("kind", ["random", "graded", "zeros", "equal", "split"])
+def test_solver(kind):
+    rng = np.random.default_rng(7)
+    for d in (1, 2, 3, 8, 40):
+        r = np.triu(rng.standard_normal((d, d)))
+        if kind == "graded":
+            r *= np.geomspace(1, 1e-8, d)
+        if kind == "zeros":
+            r[:, ::3] = 0
+        if kind == "equal":
+            r = np.eye(d) * 3
+        if kind == "split" and d > 3:
+            r[: d // 2, d // 2:] = 0
+        s = np.linalg.svd(r, compute_uv=False)
+        values, vectors, every = whitening.principal(r, 1, d)
+        assert np.allclose(np.sqrt(np.maximum(every, 0)), s, rtol=1e-9, atol=1e-13 * max(s.max(), 1e-300))
+        assert np.allclose(vectors.T @ vectors, np.eye(len(values)), atol=1e-11)
+        assert np.allclose(r.T @ r @ vectors, vectors * values, atol=1e-11 * max(1, s.max() ** 2))
+
+
+def test_small_singular_values_are_accurate():
+    """dqds keeps the digits of tiny values of a graded bidiagonal."""
+    a, b = np.geomspace(1, 1e-12, 10), np.geomspace(1, 1e-12, 10)[:-1] * 0.3
+    found = np.sqrt(whitening.squared_values(a, b))
+    from fractions import Fraction
+    # the product of the values is that of the diagonal, exactly
+    assert math.isclose(math.prod(found), float(math.prod(Fraction(x) for x in a)), rel_tol=1e-12)
+
+
+def test_deviation_beyond_a_long_is_null():
+    assert whitening._deviations(np.array([[1 << 32, 1 << 32], [3, 4]])) == [None, 25]
