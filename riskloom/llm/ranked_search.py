@@ -37,10 +37,10 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskloom.session import materialize, shuffle_partitions
+from riskloom.session import materialize
 
 BLOCK_BYTES = 8 << 20  # item text in a dictionary
-SHARD_POSTINGS = 1 << 20
+SHARD_POSTINGS = 1 << 19
 _OPENED = 64  # intervals opened at a time
 # bytes of terms: digits, letters (A-Z lower-cased) and all beyond ASCII; the others part them
 _BYTES = bytes(c + 32 if 0x41 <= c <= 0x5A else c if c >= 0x80 or chr(c).isalnum() else 0x20 for c in range(256))
@@ -179,7 +179,7 @@ def _block(docs: DataFrame, asked: list, k: int, id_col: str, text_col: str, sha
         often = Counter(dictionary[w] for w in words)
         items.append((item, [(t, int(weights[t]) * c) for t, c in often.items()]))
     n_all, n_terms = all_["n"], all_["terms"]
-    shards = max(shuffle_partitions(docs.sparkSession), -(-all_["postings"] // shard_postings))
+    shards = -(-all_["postings"] // shard_postings)
 
     def shard(part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values(["n", "place"], ignore_index=True)
