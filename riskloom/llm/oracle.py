@@ -13,36 +13,38 @@ from riskloom.llm.licenses import SPAN, TEMPLATES, words
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _WORD = r"[^\x20\x09-\x0D]+"
 
-# Every repeated window (the shortest run of lines from a line, or up to a line, with 50 words) as
-# text; a line is deleted if a window over it occurs at an earlier place.
+# Runs grow by one line at a time: two places with one run share its first place (cls).  A line goes if it
+# stands at an earlier place too; the longest run with an earlier copy is known for each line.
 LINE_DEDUP = f"""
-WITH l AS (
-  SELECT doc_id, text, UNNEST(string_split(text, chr(10))) AS s, UNNEST(range(len(string_split(text, chr(10))))) AS i
+WITH RECURSIVE l AS (
+  SELECT doc_id, UNNEST(string_split(text, chr(10))) AS s, UNNEST(range(len(string_split(text, chr(10))))) AS i
   FROM documents WHERE text IS NOT NULL
 ), w AS (
-  SELECT doc_id, i, s, len(regexp_extract_all(s, '{_WORD}')) AS n FROM l
-), q AS (
-  SELECT *, ROW_NUMBER() OVER d AS seq, SUM(n) OVER d AS upto FROM w WHERE n > 0 WINDOW d AS (PARTITION BY doc_id ORDER BY i)
-), ends AS (
-  SELECT a.doc_id, a.seq AS a, MIN(b.seq) AS b FROM q a JOIN q b
-  ON a.doc_id = b.doc_id AND b.seq BETWEEN a.seq AND a.seq + 49 AND b.upto - a.upto + a.n >= 50 GROUP BY ALL
-  UNION
-  SELECT a.doc_id, MAX(b.seq), a.seq FROM q a JOIN q b
-  ON a.doc_id = b.doc_id AND b.seq BETWEEN a.seq - 49 AND a.seq AND a.upto - b.upto + b.n >= 50 GROUP BY a.doc_id, a.seq
-), windows AS (
-  SELECT e.doc_id, a, b, md5(string_agg(md5(s), ',' ORDER BY seq)) AS content
-  FROM ends e JOIN q ON e.doc_id = q.doc_id AND q.seq BETWEEN a AND b GROUP BY ALL
-), later AS (
-  SELECT doc_id, a, b FROM windows
-  QUALIFY ROW_NUMBER() OVER (PARTITION BY content ORDER BY doc_id, a) > 1
-), gone AS (
-  SELECT DISTINCT q.doc_id, i FROM later JOIN q ON q.doc_id = later.doc_id AND seq BETWEEN a AND b
+  SELECT doc_id, i, s, ROW_NUMBER() OVER (ORDER BY doc_id, i) AS pos FROM l WHERE regexp_matches(s, '[^\\x20\\x09-\\x0D]')
+), runs AS (
+  SELECT doc_id, pos, 1 AS len, cls FROM (
+    SELECT doc_id, pos, MIN(pos) OVER (PARTITION BY s) AS cls, COUNT(*) OVER (PARTITION BY s) AS n FROM w) WHERE n > 1
+  UNION ALL
+  SELECT doc_id, pos, len, cls FROM (
+    SELECT r.doc_id, r.pos, r.len + 1 AS len, MIN(r.pos) OVER (PARTITION BY r.cls, w.s) AS cls,
+           COUNT(*) OVER (PARTITION BY r.cls, w.s) AS n
+    FROM runs r JOIN w ON w.pos = r.pos + r.len AND w.doc_id = r.doc_id) WHERE n > 1
+), longest AS (
+  SELECT doc_id, pos, MAX(len) AS len, arg_max(cls, len) AS cls FROM runs WHERE cls < pos GROUP BY ALL
+), maximal AS (
+  SELECT a.* FROM longest a LEFT JOIN longest b ON b.pos = a.pos - 1 AND b.doc_id = a.doc_id AND b.len = a.len + 1
+  WHERE b.pos IS NULL
+), told AS (
+  SELECT doc_id, COUNT(*) AS n_runs, MAX(len) AS longest_run, arg_max(cls, CAST(len AS BIGINT) * 1000000000000 - pos) AS cls FROM maximal GROUP BY doc_id
 ), r AS (
-  SELECT w.doc_id, CAST(COUNT(*) AS INTEGER) AS n_lines, CAST(COUNT(g.i) AS INTEGER) AS n_removed,
-         COALESCE(string_agg(s, chr(10) ORDER BY w.i) FILTER (g.i IS NULL), '') AS text
-  FROM w LEFT JOIN gone g ON w.doc_id = g.doc_id AND w.i = g.i GROUP BY w.doc_id
+  SELECT l.doc_id, CAST(COUNT(*) AS INTEGER) AS n_lines, CAST(COUNT(g.pos) AS INTEGER) AS n_removed,
+         COALESCE(string_agg(l.s, chr(10) ORDER BY l.i) FILTER (g.pos IS NULL), '') AS text
+  FROM l LEFT JOIN w ON l.doc_id = w.doc_id AND l.i = w.i LEFT JOIN longest g ON g.pos = w.pos GROUP BY l.doc_id
 )
-FROM r UNION ALL SELECT doc_id, 0, 0, NULL FROM documents WHERE text IS NULL
+SELECT r.*, CAST(COALESCE(n_runs, 0) AS INTEGER) AS n_runs, CAST(COALESCE(longest_run, 0) AS INTEGER) AS longest_run,
+       w.doc_id AS first_doc, CAST(w.i AS INTEGER) AS first_line
+FROM r LEFT JOIN told USING (doc_id) LEFT JOIN w ON w.pos = told.cls
+UNION ALL SELECT doc_id, 0, 0, NULL, 0, 0, NULL, NULL FROM documents WHERE text IS NULL
 """
 
 

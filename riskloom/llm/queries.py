@@ -36,8 +36,9 @@ def training_labels(labels: DataFrame) -> DataFrame:
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """doc_id, n_lines, n_removed, text; repeated runs of any length, from one word on."""
-    return line_dedup.dedup(table(spark, sf_dir, "documents"), min_words=1)
+    """doc_id, n_lines, n_removed, text, n_runs, longest_run, first_doc, first_line; repeated runs of any
+    length, from one word on."""
+    return line_dedup.dedup(table(spark, sf_dir, "documents"), min_words=1, runs=True)
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -88,4 +88,64 @@ def test_registered_query_deletes_every_later_copy(spark):
         left.append((i, len(lines), len(lines) - len(kept), "\n".join(kept)))
     short = sum(n for _, _, n, _ in left)
     assert short > sum(r[2] for r in want(rows, 50))  # runs of under 50 words are there
-    assert sorted(map(tuple, queries.op1_line_dedup(spark, SF001).collect())) == left
+    found = queries.op1_line_dedup(spark, SF001)
+    assert sorted(map(tuple, found.select("doc_id", "n_lines", "n_removed", "text").collect())) == left
+
+
+def told(rows, min_words):
+    """(document, text): maximal runs, the longest one's lines, and where it stands first."""
+    size = lambda s: len(re.findall(r"[^\x20\x09-\x0D]+", s))
+    docs = sorted({(i is not None, i or 0, t) for i, t, _ in rows if t is not None})
+    seqs = [[(n, s) for n, s in enumerate(t.split("\n")) if size(s)] for *_, t in docs]
+    order = [(d, p) for d, s in enumerate(seqs) for p in range(len(s))]
+    out = {}
+    for d, seq in enumerate(seqs):
+        best, runs, last = (0, None), 0, -1
+        for p in range(len(seq)):
+            most, first = 0, None
+            for e, q in order[:order.index((d, p))]:
+                n = 0
+                while p + n < len(seq) and q + n < len(seqs[e]) and seq[p + n][1] == seqs[e][q + n][1]:
+                    n += 1
+                if n > most:
+                    most, first = n, (docs[e][1] if docs[e][0] else None, seqs[e][q][0])
+            if most and p + most > last and sum(size(s) for _, s in seq[p:p + most]) >= min_words:
+                runs += 1
+                if most > best[0]:
+                    best = (most, first)
+            last = max(last, p + most)
+        out[docs[d]] = (runs, best[0], *(best[1] or (None, None)))
+    return out
+
+
+@pytest.mark.parametrize("min_words", [1, 9])
+def test_runs_against_comparison(make_docs, rng, odd_rows, min_words):
+    lines = ["a b c", "d e", "f", "g h i j", "", "k l"]
+    passages = [[rng.choice(lines) for _ in range(rng.randint(2, 40))] for _ in range(3)]
+    rows = [(i, "\n".join(sum((rng.choice(passages)[rng.randint(0, 3):] if rng.random() < 0.7 else [f"own {rng.randint(0, 9)}"]
+                               for _ in range(rng.randint(0, 4))), [])), "s") for i in range(14)]
+    rows += [(50, "f\n" * 21, "s"), *odd_rows]
+    want_ = told(rows, min_words)
+    got_ = line_dedup.dedup(make_docs(rows, extra=True), min_words=min_words, runs=True).collect()
+    text = {(r[0], r[3]) for r in want(rows, min_words)}
+    assert {(r.doc_id, r.text) for r in got_} == text
+    before = sorted(((i, t) for i, t, _ in rows), key=str)
+    keyed = {}
+    for (known, i, t), v in want_.items():
+        keyed.setdefault(i if known else None, []).append(v)
+    for r in got_:
+        if r.n_lines:
+            assert (r.n_runs, r.longest_run, r.first_doc, r.first_line) in keyed[r.doc_id]
+        else:
+            assert (r.n_runs, r.longest_run, r.first_doc) == (0, 0, None)
+    assert len(got_) == len(before) and max(r.longest_run for r in got_) > 10
+
+
+def test_doubles_until_no_pair_repeats(make_docs, monkeypatch):
+    text = "\n".join(f"line {i}" for i in range(40))
+    written, real = [], line_dedup.save_scratch
+    monkeypatch.setattr(line_dedup, "save_scratch", lambda df, name: written.append(name) or real(df, name))
+    out = line_dedup.dedup(make_docs([(1, text, "s"), (2, text, "s")]), min_words=1, runs=True).collect()
+    assert sorted((r.doc_id, r.n_removed, r.n_runs, r.longest_run, r.first_doc, r.first_line) for r in out) == [
+        (1, 0, 0, 0, None, None), (2, 40, 1, 40, 1, 0)]
+    assert written.count("suffix-ranks") == 5 and written.count("runs") == 6  # 2^5 <= 40 lines
