@@ -18,18 +18,28 @@ size check on the relation) rather than through a hint.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom import schema as S
 
-DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
+# Declared schemas of the source tables: reading with them needs no job over the file footers.
+SOURCES = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, "
+              "o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+                "l_shipdate timestamp_ntz",
+}
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    reader = spark.read.schema(SOURCES[name]) if name in SOURCES else spark.read
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def padded_id(prefix: str, key: Column, width: int) -> Column:
@@ -129,22 +139,38 @@ def transactions(lineitem: DataFrame) -> DataFrame:
     )
 
 
-@dataclass(frozen=True)
 class Domain:
-    """The three report inputs as lazily derived DataFrames."""
+    """The three report inputs as lazily derived DataFrames.  Each is a frame or a
+    function that makes one, called when a report first asks for it."""
 
-    customers: DataFrame
-    loans: DataFrame
-    txns: DataFrame
+    def __init__(self, customers, loans, txns):
+        self._made = {"customers": customers, "loans": loans, "txns": txns}
+
+    def _frame(self, name: str) -> DataFrame:
+        made = self._made[name]
+        return made if isinstance(made, DataFrame) else made()
+
+    @cached_property
+    def customers(self) -> DataFrame:
+        return self._frame("customers")
+
+    @cached_property
+    def loans(self) -> DataFrame:
+        return self._frame("loans")
+
+    @cached_property
+    def txns(self) -> DataFrame:
+        return self._frame("txns")
 
 
 def load_domain(spark: SparkSession, sf_dir: str) -> Domain:
-    """Derive the three domain tables from the driver tables in ``sf_dir``: lazy
-    plans, built (and the files listed) anew on each call."""
+    """Derive the three domain tables from the driver tables in ``sf_dir``: lazy plans; a
+    table's files are listed when a report asks for it, anew for each domain."""
+    table = lambda name: read_table(spark, sf_dir, name)
     return Domain(
-        customers=customer_profiles(read_table(spark, sf_dir, "customer"), read_table(spark, sf_dir, "nation")),
-        loans=loan_applications(read_table(spark, sf_dir, "orders")),
-        txns=transactions(read_table(spark, sf_dir, "lineitem")),
+        customers=lambda: customer_profiles(table("customer"), table("nation")),
+        loans=lambda: loan_applications(table("orders")),
+        txns=lambda: transactions(table("lineitem")),
     )
 
 
