@@ -99,3 +99,10 @@ REVERSAL_LIMIT = 30
 RANKING_LIMIT = 100
 DECILES = 10
 ROLLING_ROWS = 3
+
+# Event-time reports: what a transaction says about its loan from then on, and the windows.
+STATE_EVENTS = ("EMI_Payment", "Interest_Credit", "Loan_Disbursement", "Reversal")
+EARLY_WITHDRAWAL_DAYS = 60
+BURST_GAP_DAYS = 45
+BURST_MIN_TXNS = 2
+WINDOW_DAYS, WINDOW_STEP_DAYS, WINDOW_MIN_TXNS = 120, 30, 2

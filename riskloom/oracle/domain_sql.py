@@ -98,10 +98,16 @@ SELECT
 FROM lineitem
 """
 
+TIMED_SQL = TRANSACTIONS_SQL.rstrip().removesuffix("FROM lineitem").rstrip() + """,
+  l_shipdate + to_hours(CAST((l_partkey * l_linenumber + l_suppkey) % 24 AS INTEGER)) AS txn_time
+FROM lineitem
+"""
+
 DOMAIN_CTES = {
     "customer_profiles": CUSTOMER_PROFILES_SQL,
     "loan_applications": LOAN_APPLICATIONS_SQL,
     "transactions": TRANSACTIONS_SQL,
+    "timed_transactions": TIMED_SQL,
 }
 
 

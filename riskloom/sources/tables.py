@@ -116,7 +116,8 @@ def loan_applications(orders: DataFrame) -> DataFrame:
     )
 
 
-def transactions(lineitem: DataFrame) -> DataFrame:
+def transactions(lineitem: DataFrame, *more: Column) -> DataFrame:
+    """The transactions table; ``more`` are columns of lineitem to carry along."""
     part, supp, line = F.col("l_partkey"), F.col("l_suppkey"), F.col("l_linenumber")
     ttype = (part * 31 + supp * 7) % 100
     return lineitem.select(
@@ -136,9 +137,16 @@ def transactions(lineitem: DataFrame) -> DataFrame:
         .otherwise(F.lit(0)).alias("is_suspicious_flag"),
         F.when(F.col("l_returnflag") == "R", F.lit(1)).otherwise(F.lit(0)).alias("reversal_flag"),
         F.concat(F.lit("NATION_"), ((supp * 23) % 25).cast("string")).alias("state"),
+        *more,
     )
 
 
+def timed_transactions(lineitem: DataFrame) -> DataFrame:
+    """transactions with ``txn_time``: the hour of the day they ran."""
+    day = transactions(lineitem, F.col("l_shipdate").alias("txn_time"))
+    return day.withColumn("txn_time", F.timestamp_add("HOUR", F.col("transaction_hour"), F.col("txn_time")))
+
+
 class Domain:
     """The three report inputs as lazily derived DataFrames.  Each is a frame or a
     function that makes one, called when a report first asks for it."""
