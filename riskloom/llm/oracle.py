@@ -48,9 +48,10 @@ UNION ALL SELECT doc_id, 0, 0, NULL, 0, 0, NULL, NULL FROM documents WHERE text
 """
 
 
-def _mixing(rounds: int = 4) -> str:
-    sql = f"""
-WITH sized AS (
+# The rest of a budget goes to the documents that fit, in key order; what is still missing then goes
+# to the smaller ones left, and so on until none fits.
+MIXING = f"""
+WITH RECURSIVE sized AS (
   SELECT doc_id, source, COALESCE(len(regexp_extract_all(text, '{_WORD}')), 0) AS size,
          -ln((CAST('0x' || substr(md5('17:' || doc_id), 1, 13) AS BIGINT) + 0.5) / 4503599627370496)
          / ((len(translate(text, '#$%&*|!<>{{}}[]_=~^\\', '')) + 1) / (len(text) + 1)) AS key
@@ -71,30 +72,25 @@ WITH sized AS (
 ), targets AS (
   SELECT source, source_size, CAST(COALESCE(LEAST(cap, final * w), cap) AS DOUBLE) AS target FROM water
 ), r0 AS (
-  SELECT doc_id, source, size, source_size, target, key,
+  SELECT doc_id, sized.source, size, source_size, target, key,
          CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS whole,
          target - whole * source_size AS missing
-  FROM sized JOIN targets USING (source)
-)"""
-    for k in range(rounds):
-        sql += f""", f{k} AS (
-  SELECT *, SUM(size) OVER (PARTITION BY source ORDER BY key, doc_id, size ROWS UNBOUNDED PRECEDING) <= missing AS fits FROM r{k}
-), u{k} AS (SELECT source, SUM(size) FILTER (fits) AS used FROM f{k} GROUP BY source
-), r{k + 1} AS (
-  SELECT doc_id, f{k}.source, size, source_size, target, key, whole, missing - COALESCE(used, 0) AS missing
-  FROM f{k} JOIN u{k} ON f{k}.source IS NOT DISTINCT FROM u{k}.source
-  WHERE NOT fits AND size <= missing - COALESCE(used, 0)
-)"""
-    more = " UNION ALL ".join(f"SELECT doc_id FROM f{k} WHERE fits" for k in range(rounds))
-    return sql + f""", more AS ({more})
+  FROM sized JOIN targets ON sized.source IS NOT DISTINCT FROM targets.source
+), filled AS (
+  SELECT doc_id, source, size, key, missing, FALSE AS fits FROM r0 WHERE size <= missing
+  UNION ALL
+  SELECT doc_id, source, size, key, CASE WHEN fits THEN missing ELSE left_ END, fits FROM (
+    SELECT *, missing - COALESCE(SUM(size) FILTER (fits) OVER (PARTITION BY source), 0) AS left_ FROM (
+      SELECT doc_id, source, size, key, missing,
+             SUM(size) OVER (PARTITION BY source ORDER BY key, doc_id, size ROWS UNBOUNDED PRECEDING) <= missing AS fits
+      FROM filled WHERE NOT fits))
+  WHERE fits OR size <= left_
+)
 SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(source_size AS BIGINT) AS source_size, target,
-       CAST(size * (whole + (doc_id IN (FROM more))::INT) AS BIGINT) AS taken
+       CAST(size * (whole + (doc_id IN (SELECT doc_id FROM filled WHERE fits))::INT) AS BIGINT) AS taken
 FROM r0
 """
 
-
-MIXING = _mixing()
-
 WARC = """
 WITH p AS (SELECT page_id, COALESCE(html, '') AS payload FROM pages),
 kept AS (SELECT payload, MAX(page_id) AS page FROM p WHERE strlen(payload) >= 1000 GROUP BY payload)
