@@ -122,3 +122,27 @@ def test_representatives_of_rows_that_share_an_id(make_docs, rng):
         assert out.columns == docs.columns
         got = sorted(((r.doc_id, r.text) for r in out.collect()), key=str)
         assert got == sorted([(1, a), (1, b), (None, c), (None, d), (3, None)], key=str)
+
+
+def test_edges_of_a_hub_are_split(spark):
+    """A node with most edges: its join with the minimum has a plain shuffle on either side, and is dealt anew."""
+    from riskloom.llm import components
+
+    keep = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.advisoryPartitionSizeInBytes",
+                                           "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes")}
+    for k, v in zip(keep, ("-1", "16k", "16k")):
+        spark.conf.set(k, v)
+    try:
+        hub = spark.range(200_000).selectExpr("0L AS u", "id + 1 AS v").union(spark.range(2_000).selectExpr("id + 300000 AS u", "id + 400000 AS v"))
+        both = hub.union(hub.selectExpr("v AS u", "u AS v"))
+        least, _ = components._minimum(both)
+        joined = both.join(least, both.u == least.n).select("v", "m")
+        joined.write.format("noop").mode("overwrite").save()
+        joined.collect()
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "skew=true" in plan
+        found = {r.node: r.component for r in components.components(hub).collect()}
+        assert set(found.values()) == {0} | set(range(300_000, 302_000)) and len(found) == 204_001
+    finally:
+        for k, v in keep.items():
+            spark.conf.set(k, v)
