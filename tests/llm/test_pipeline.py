@@ -10,7 +10,7 @@ from tests.llm.test_simhash import closure, plain
 from tests.llm.test_wavelet import want_rows
 
 COLUMNS = {
-    "op1_line_dedup": ["doc_id", "n_lines", "n_removed", "text"],
+    "op1_line_dedup": ["doc_id", "n_lines", "n_removed", "text", "n_runs", "longest_run", "first_doc", "first_line"],
     "op2_mixing": ["doc_id", "size", "source_size", "target", "taken"],
     "op3_wavelet_tokens": ["doc_id", "start", "n_tokens", "ids_crc32"],
     "op4_simhash": ["doc_id", "fingerprint", "component_id"],
@@ -20,6 +20,9 @@ COLUMNS = {
     "op8_url_filter": ["page_id", "host", "path", "rule", "verdict"],
     "op9_licenses": ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"],
     "op10_decontamination": ["doc_id", "item_id", "distance", "end_word", "item_words"],
+    "op11_ranked_search": ["item_id", "rank", "doc_id", "score"],
+    "op12_whitening": ["vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"],
+    "op13_toxicity": ["doc_id", "held_out", "score", "predicted"],
 }
 
 
