@@ -106,3 +106,4 @@ EARLY_WITHDRAWAL_DAYS = 60
 BURST_GAP_DAYS = 45
 BURST_MIN_TXNS = 2
 WINDOW_DAYS, WINDOW_STEP_DAYS, WINDOW_MIN_TXNS = 120, 30, 2
+ALARM_DAYS, ALARM_DELAY_DAYS = 90, 2

@@ -23,14 +23,14 @@ from pyspark.sql.streaming import StreamingQuery
 
 from riskloom.functions import avg_money, money_parts, off_hours_list, pct, sum_money
 from riskloom.session import scratch_path
-from riskloom.sources.tables import transactions
+from riskloom.sources.tables import timed_transactions, transactions
 
 
 def transaction_stream(spark: SparkSession, lineitem: str,
                        max_files_per_trigger: int | None = None,
-                       schema: T.StructType | None = None) -> DataFrame:
+                       schema: T.StructType | None = None, timed: bool = False) -> DataFrame:
     """Streaming source over lineitem-shaped parquet files (a folder of them, or
-    one file), derived to the transactions table.  ``schema`` is needed when
+    one file), derived to the transactions table (``timed``: with ``txn_time``).  ``schema`` is needed when
     the folder is still empty; otherwise it is read from the files present."""
     if schema is None:
         schema = spark.read.parquet(lineitem).schema
@@ -42,7 +42,7 @@ def transaction_stream(spark: SparkSession, lineitem: str,
         lineitem = path.getParent().toString()
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return transactions(reader.parquet(lineitem))
+    return (timed_transactions if timed else transactions)(reader.parquet(lineitem))
 
 
 def channel_risk_running(txns: DataFrame) -> DataFrame:
@@ -102,3 +102,25 @@ def run_available(report: DataFrame, name: str) -> DataFrame:
     query_name = f"{name}_{uuid.uuid4().hex[:8]}"
     start(report, query_name).awaitTermination()
     return report.sparkSession.table(query_name)
+
+
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def run_to_table(report: DataFrame, name: str, out: str | None = None, checkpoint_location: str | None = None) -> DataFrame:
+    """Run an appending report over everything that has landed, with its state in RocksDB; return the
+    table of all rows it has told so far.  Run again with the same ``out`` and
+    ``checkpoint_location``, it goes on where it stopped."""
+    spark = report.sparkSession
+    out = out or scratch_path(spark, name)
+    before = spark.conf.get(STATE_STORE, None)
+    spark.conf.set(STATE_STORE, ROCKSDB)  # a query keeps the settings it was started with
+    try:
+        query = (report.writeStream.format("parquet").outputMode("append").option("path", out)
+                 .option("checkpointLocation", checkpoint_location or scratch_path(spark, f"stream-{name}"))
+                 .trigger(availableNow=True).start())
+    finally:
+        spark.conf.unset(STATE_STORE) if before is None else spark.conf.set(STATE_STORE, before)
+    query.awaitTermination()
+    return spark.read.schema(report.schema).parquet(out)
