@@ -4,23 +4,31 @@ A record is a header chunk (number 0) and the payload in chunks of at most ``chu
 bytes; a row is (record, chunk, bytes, digest), where ``digest`` is the SHA-1
 of the payload so far.  Writing and reading stream over chunks, carrying one
 running digest, so no task holds a second copy of a large payload.  Read in
-record and chunk order, the bytes are a WARC/1.1 file (``stream``).
+record and chunk order, the bytes are a WARC/1.1 file (``stream``): every record has its id, date and
+target, and a revisit names the id, target and date of the response it stands for.
 
 Records with equal payloads of at least ``min_bytes`` are stored once: the one with the
 largest id is the response, the others are revisits, which refer to it and
 have no body; their header keeps the digest and length of the full payload.
 
+Record ids are UUIDs made from a row's id, url and payload, so they can be known without the record.
+
 Defined cases: a null payload is empty; equal payloads are those with equal
-SHA-1 and length; rows that tie on the largest id are all responses; a row with
+SHA-1 and length; rows that tie on the largest id are all responses, and revisits name that with the last url; a row with
 a null id never becomes what others refer to, unless all are null (then all are responses);
-repeated rows are separate records; an empty table gives an empty archive.  Only the
-named columns are read.
+repeated rows are separate records with one record id; an empty table gives an empty archive.  A null, empty or missing url
+is the target ``urn:page:<id>``; characters that a header cannot hold are percent-encoded, however long the
+url.  Only the named columns are read.
 """
 
 from __future__ import annotations
 
 import hashlib
+import string
+import uuid
 from collections.abc import Iterator
+from datetime import datetime, timezone
+from urllib.parse import quote
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -34,12 +42,25 @@ _BATCH_BYTES = 8 << 20
 _NONE = "-"
 
 
-def _header(page_id, kind: str, digest: str, size: int, target, record: int) -> bytes:
-    lines = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:record:{record}>",
-             f"X-Page-ID: {_NONE if page_id is None else page_id}", f"WARC-Payload-Digest: sha1:{digest}",
-             f"X-Payload-Length: {size}"]
+_SAFE = string.ascii_letters + string.digits + string.punctuation
+
+
+def record_id(page_id, url: str | None, sha1: str, size: int, kind: str) -> str:
+    said = repr((page_id, url, sha1, size, kind)).encode("utf-8", "surrogatepass")
+    return f"<urn:uuid:{uuid.UUID(bytes=hashlib.sha1(said).digest()[:16], version=5)}>"
+
+
+def target_uri(page_id, url: str | None) -> str:
+    return quote(url, safe=_SAFE, errors="surrogatepass") if url else f"urn:page:{_NONE if page_id is None else page_id}"
+
+
+def _header(page_id, url, kind: str, digest: str, size: int, date: str, target, target_url) -> bytes:
+    lines = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: {record_id(page_id, url, digest, size, kind)}", f"WARC-Date: {date}",
+             f"WARC-Target-URI: {target_uri(page_id, url)}", f"X-Page-ID: {_NONE if page_id is None else page_id}",
+             f"WARC-Payload-Digest: sha1:{digest}", f"X-Payload-Length: {size}"]
     if kind == "revisit":
-        lines += [f"WARC-Refers-To: <urn:page:{target}>",
+        lines += [f"WARC-Refers-To: {record_id(target, target_url, digest, size, 'response')}",
+                  f"WARC-Refers-To-Target-URI: {target_uri(target, target_url)}", f"WARC-Refers-To-Date: {date}", f"X-Refers-To-Page-ID: {target}",
                   "WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"]
     lines += ["Content-Type: application/octet-stream", f"Content-Length: {0 if kind == 'revisit' else size}"]
     return ("\r\n".join(lines) + "\r\n\r\n").encode("ascii")
@@ -66,17 +87,22 @@ def _batches(rows: Iterator[tuple], schema: pa.Schema, size_of=lambda row: 64) -
 
 
 def records(pages: DataFrame, id_col: str = "page_id", payload_col: str = "html", min_bytes: int = 1000,
-            chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """Chunk rows of an archive of ``pages``."""
-    rows = pages.select(F.col(id_col).alias("id"), F.coalesce(F.col(payload_col).cast("binary"), F.lit(b"")).alias("payload"))
+            chunk_bytes: int = CHUNK_BYTES, url_col: str = "url", date: str | None = None) -> DataFrame:
+    """Chunk rows of an archive of ``pages``; ``date`` (ISO 8601, UTC) is that of all records, now by default."""
+    date = date or datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
+    url = F.col(url_col) if url_col in pages.columns else F.lit(None)
+    rows = pages.select(F.col(id_col).alias("id"), url.cast("string").alias("url"),
+                        F.coalesce(F.col(payload_col).cast("binary"), F.lit(b"")).alias("payload"))
     rows = rows.withColumn("size", F.octet_length("payload")).withColumn("sha", F.unhex(F.sha1("payload")))
-    # Only digests are shuffled to find equal payloads.  Written, the few groups
+    # Only digests and urls are shuffled to find equal payloads.  Written, the few groups
     # have a known size when the planner chooses how to join them to the payloads.
     groups = rows.filter(F.col("size") >= min_bytes).groupBy("sha", "size").agg(
-        F.max("id").alias("target"), F.count(F.lit(1)).alias("n")).filter("n > 1 and target is not null")
-    groups = materialize(groups.select(F.col("sha").alias("g_sha"), F.col("size").alias("g_size"), "target"), "warc-groups")
+        F.max(F.struct("id", "url")).alias("last"), F.count(F.lit(1)).alias("n")).filter("n > 1 and last.id is not null")
+    groups = materialize(groups.select(F.col("sha").alias("g_sha"), F.col("size").alias("g_size"), F.col("last.id").alias("target"),
+                                       F.col("last.url").alias("target_url")), "warc-groups")
     rows = rows.join(groups, (F.col("sha") == F.col("g_sha")) & (F.col("size") == F.col("g_size")), "left")
-    rows = rows.select("id", "payload", F.when(F.col("id").eqNullSafe(F.col("target")), None).otherwise(F.col("target")).alias("target"))
+    rows = rows.select("id", "url", "payload", "sha", F.when(F.col("id").eqNullSafe(F.col("target")), None).otherwise(F.col("target")).alias("target"),
+                       "target_url")
     schema = pa.schema([("record", pa.int64()), ("chunk", pa.int32()), ("bytes", pa.binary()), ("digest", pa.string())])
 
     def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
@@ -85,11 +111,11 @@ def records(pages: DataFrame, id_col: str = "page_id", payload_col: str = "html"
         record = TaskContext.get().partitionId() << 33  # a number of its own for every row
         for b in batches:
             for k in range(b.num_rows):
-                page, target = b["id"][k].as_py(), b["target"][k].as_py()
+                page, url, target = b["id"][k].as_py(), b["url"][k].as_py(), b["target"][k].as_py()
                 payload = memoryview(b["payload"][k].as_buffer())  # no copy
                 kind = "response" if target is None else "revisit"
-                digest = hashlib.sha1(payload).hexdigest()
-                yield record, 0, _header(page, kind, digest, len(payload), target, record), hashlib.sha1().hexdigest()
+                head = _header(page, url, kind, b["sha"][k].as_py().hex(), len(payload), date, target, b["target_url"][k].as_py())
+                yield record, 0, head, hashlib.sha1().hexdigest()
                 if kind == "response":
                     running = hashlib.sha1()
                     for i in range(0, len(payload), chunk_bytes):
@@ -121,7 +147,7 @@ def read(archive: DataFrame) -> DataFrame:
     def row(head: dict[str, str], size: int, running) -> tuple:
         page = None if head["X-Page-ID"] == _NONE else int(head["X-Page-ID"])
         kind, digest = head["WARC-Type"], head["WARC-Payload-Digest"].removeprefix("sha1:")
-        target = int(head["WARC-Refers-To"].removeprefix("<urn:page:").removesuffix(">")) if kind == "revisit" else None
+        target = int(head["X-Refers-To-Page-ID"]) if kind == "revisit" else None
         if kind == "response" and (running.hexdigest() != digest or size != int(head["Content-Length"])):
             raise ValueError(f"record of page {page}: the payload is not what its header says")
         return page, int(head["X-Payload-Length"]), digest, kind, target
