@@ -147,20 +147,22 @@ def _forest(points: np.ndarray, queries: np.ndarray, r: int, cells: int = 1 << 2
     return label
 
 
-def link_points(points: DataFrame, max_bits: int = 2, shard_points: int = 2048, max_depth: int = 12,
+def link_points(points: DataFrame, max_bits: int = 2, shard_points: int = 2048, max_depth: int = 20,
                 sample_points: int = 4096, block: int = 1 << 15) -> DataFrame:
     """Edges (u, v) that connect all ``points`` (fp, id) within ``max_bits``
     bits of each other, directly or through other points.
 
-    ``sample_points`` bounds what the tree is built from; every point is
-    routed and compared.  ``shard_points`` is the wanted shard size.
+    ``shard_points`` is the wanted shard size, from which the depth follows.  The tree is built from
+    ``sample_points`` points, or four to a shard if that is more; every point is routed and
+    compared.  ``max_depth`` bounds the tree (16 MB) and that sample (4 million points); beyond two
+    billion distinct fingerprints shards grow and are compared block by block.
     """
     n = points.count()
     depth = 0
     while depth < max_depth and (shard_points << depth) < n:
         depth += 1
     sample = [] if depth == 0 else [
-        r.fp for r in points.select("fp").orderBy(F.xxhash64("fp"), "fp").limit(sample_points).collect()]
+        r.fp for r in points.select("fp").orderBy(F.xxhash64("fp"), "fp").limit(max(sample_points, 4 << depth)).collect()]
     tree = VantageTree(np.array(sample, np.int64).view(np.uint64), depth)
 
     def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

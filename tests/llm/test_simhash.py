@@ -146,3 +146,22 @@ def test_edges_of_a_hub_are_split(spark):
     finally:
         for k, v in keep.items():
             spark.conf.set(k, v)
+
+
+def test_depth_follows_the_points(spark, rng, monkeypatch):
+    """A tree much deeper than points need still brings all partners together; depth and sample grow with the table."""
+    fps = near_points(rng, 500)
+    made, real = [], simhash.VantageTree
+
+    class Watched(real):
+        def __init__(self, sample, depth):
+            made.append((len(sample), depth))
+            super().__init__(sample, depth)
+
+    monkeypatch.setattr(simhash, "VantageTree", Watched)
+    signed = [int(np.uint64(x).astype(np.int64)) for x in fps]
+    df = spark.createDataFrame(list(enumerate(signed)), "doc_id long, fp long")
+    for shard_points, depth in ((1, 9), (64, 3)):
+        got = {r.doc_id: r.component_id for r in simhash.cluster(df, 2, shard_points=shard_points, sample_points=8).collect()}
+        assert got == dict(enumerate(closure(range(len(fps)), fps)))
+        assert made.pop() == (min(len(set(fps)), max(8, 4 << depth)), depth)
