@@ -8,7 +8,7 @@ brute-force versions in the tests.
 
 from __future__ import annotations
 
-from riskloom.llm.licenses import SPAN, TEMPLATES, words
+from riskloom.llm.licenses import TEMPLATES, spans, words
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _WORD = r"[^\x20\x09-\x0D]+"
@@ -164,8 +164,11 @@ def _licenses(threshold: float = 0.8) -> str:
     places = " UNION ALL ".join(
         f"SELECT doc_id, i - 1 AS place, '{label}' AS label FROM (SELECT doc_id, w, UNNEST(range(1, len(w) + 1)) AS i FROM t) "
         f"WHERE w[i:i + {len(p.split()) - 1}] = {_list(p.split())}" for p, label in phrases.items())
-    notices = ", ".join(f"('{label}', {_list(sorted({w.decode() for w in words(text)}))})"
-                        for label in sorted(TEMPLATES) for text in TEMPLATES[label])
+    notices = ", ".join(f"({size}, '{label}', {_list(sorted({w.decode() for w in words(text)}))})"
+                        for size, of in spans(TEMPLATES).items() for label in sorted(of) for text in of[label])
+    cuts = " UNION ALL ".join(
+        f"SELECT doc_id, {size} AS span, w[i + 1:i + {2 * size}] AS b "
+        f"FROM (SELECT doc_id, w, UNNEST(range(0, GREATEST(1, len(w) - {size}), {size})) AS i FROM t)" for size in spans(TEMPLATES))
     return f"""
 WITH t AS (
   SELECT doc_id, regexp_extract_all(translate(COALESCE(text, ''), '{_UPPER}', '{_LOWER}'),
@@ -174,12 +177,10 @@ WITH t AS (
 base AS (
   SELECT doc_id, COUNT(*) AS n_base, MIN(place) AS first_word, MAX(place) AS last_word, list_sort(list(DISTINCT label)) AS bases
   FROM places GROUP BY doc_id
-), blocks AS (
-  SELECT doc_id, w[i + 1:i + {2 * SPAN}] AS b
-  FROM (SELECT doc_id, w, UNNEST(range(0, GREATEST(1, len(w) - {SPAN}), {SPAN})) AS i FROM t)
+), blocks AS ({cuts}
 ), shares AS (
   SELECT doc_id, label, MAX(len(list_intersect(b, notice)) / len(notice)) AS share
-  FROM blocks, (VALUES {notices}) n(label, notice) GROUP BY doc_id, label HAVING share >= {threshold}
+  FROM blocks JOIN (VALUES {notices}) n(span, label, notice) USING (span) GROUP BY doc_id, label HAVING share >= {threshold}
 ), method AS (SELECT doc_id, list(label) AS found, MAX(share) AS best FROM shares GROUP BY doc_id)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, COALESCE(n_base, 0) AS n_base, first_word, last_word,
        COALESCE(array_to_string(bases, ','), '') AS base_labels,
