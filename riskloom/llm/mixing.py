@@ -5,10 +5,14 @@ Every source gets a word budget: a weight share of all words, at most
 among the sources still below their caps.  A budget of ``e`` full passes and
 a rest takes every document ``e`` times; the rest goes to the documents with
 the smallest exponential keys ``-ln(u) / quality``, taken in key order while
-the running word count stays within the rest.  Documents are taken whole: where the
-next one does not fit, the words still missing are a new budget for the documents that
-are small enough for it, in key order again, until none is.  (A round takes at least the first of
-them in each source still open, so the rounds end.)
+the running word count stays within the rest.  Documents are taken whole: one that does not
+fit is passed over, and those after it that are small enough still go in, until none is.
+
+That filling runs in rounds over all sources at once.  Let L be the words a source still misses.  While
+more than L/2 of them are open, every document of at most L/2 words fits, and of the larger ones
+only the first that fits beside the small ones before it goes in, as it leaves less than L/2.  So one
+running count of the small documents decides a round, and what is left at its end is under L/2 or
+nothing more fits: a budget of w words takes at most 2 + log2(w) rounds, whatever the sizes are.
 
 Nothing is ordered in one task: documents are range-partitioned by
 (source, key), each partition adds up its words per source, and a row's
@@ -105,16 +109,16 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     rows, _ = save_scratch(rows, "mix-order")
     decided = []
     while True:
-        marked, _ = save_scratch(_fitting(rows), "mix-round")
-        if decided and marked.isEmpty():
+        counted, _ = save_scratch(_counted(rows), "mix-round")
+        if decided and counted.isEmpty():
             break
-        decided.append(marked.filter("fits").withColumn("extra", F.lit(1)))
         # one row per source, of known size once written
-        used, _ = save_scratch(marked.filter("fits").groupBy(F.col("src").alias("s")).agg(F.sum("size").alias("used")), "mix-used")
-        rows = marked.filter("not fits").join(used, F.col("src").eqNullSafe(F.col("s")), "left").drop("s", "fits") \
-            .withColumn("left", F.col("left") - F.coalesce("used", F.lit(0))).drop("used")
-        decided.append(rows.filter("size > left").withColumn("extra", F.lit(0)))
-        rows = rows.filter("size <= left")
+        ends, _ = save_scratch(_ends(counted), "mix-ends")
+        told = counted.join(ends, F.col("src").eqNullSafe(F.col("s")))
+        alone = F.coalesce((F.col("part") == F.col("large.part")) & (F.col("place") == F.col("large.place")), F.lit(False))
+        told = told.withColumn("extra", (alone | F.col("small") & (F.col("words") <= F.col("open"))).cast("int"))
+        decided.append(told.filter("extra = 1 or size > rest"))
+        rows = told.filter("extra = 0 and size <= rest").withColumn("left", F.col("rest")).select(*rows.columns)
     columns = ("doc_id", "src", "size", "source_size", "target", "key", "full", "extra", "text_hash")
     out = reduce(DataFrame.union, [d.select(*columns) for d in decided])
     copies = F.col("full") + F.col("extra")
@@ -122,19 +126,36 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
                       copies.alias("copies"), (F.col("size") * copies).alias("taken"), "text_hash")
 
 
-_ORDER = ("key", "doc_id", "size")
+_ORDER = ("key", "doc_id", "size", "text_hash")
 
 
-def _fitting(rows: DataFrame) -> DataFrame:
-    """``rows`` with ``fits``: whether the running word count of its source, in
-    key order, is within ``left`` up to and with this row."""
-    parts = rows.groupBy(F.col("src").alias("s"), F.col("part").alias("p")).agg(F.sum("size").alias("words"))
+def _counted(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``small`` (at most half of what is left), ``place`` within the partition, and
+    ``words``: the running word count of the small rows of the source, in key order, this row included."""
+    small = F.col("size") * 2 <= F.col("left")
+    rows = rows.withColumn("small", small).withColumn("light", F.when(small, F.col("size")).otherwise(0))
+    parts = rows.groupBy(F.col("src").alias("s"), F.col("part").alias("p")).agg(F.sum("light").alias("words"))
     earlier = Window.partitionBy("s").orderBy("p").rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.select("s", "p", F.coalesce(F.sum("words").over(earlier), F.lit(0)).alias("offset"))
-    inside = Window.partitionBy("src", "part").orderBy(*_ORDER).rowsBetween(Window.unboundedPreceding, 0)
-    counted = rows.withColumn("inside", F.sum("size").over(inside))
+    order = Window.partitionBy("src", "part").orderBy(*_ORDER)
+    counted = rows.withColumn("place", F.row_number().over(order)).withColumn(
+        "inside", F.sum("light").over(order.rowsBetween(Window.unboundedPreceding, 0)))
     joined = counted.join(parts, F.col("src").eqNullSafe(F.col("s")) & (F.col("part") == F.col("p")))
-    return joined.withColumn("fits", F.col("offset") + F.col("inside") <= F.col("left")).drop("s", "p", "offset", "inside")
+    return joined.withColumn("words", F.col("offset") + F.col("inside")).drop("s", "p", "offset", "inside", "light")
+
+
+def _ends(counted: DataFrame) -> DataFrame:
+    """One row per source: the first ``large`` row that fits beside the small ones before it, the words
+    ``open`` to small rows, and the ``rest`` after them."""
+    fits = ~F.col("small") & (F.col("words") + F.col("size") <= F.col("left"))
+    first = counted.groupBy(F.col("src").alias("s")).agg(
+        F.min(F.when(fits, F.struct("part", "place", "size"))).alias("large"), F.first("left").alias("had"))
+    first = first.select("s", "large", (F.col("had") - F.coalesce(F.col("large.size"), F.lit(0))).alias("open"))
+    small = counted.filter("small").join(first.select(F.col("s").alias("f"), F.col("open").alias("most")),
+                                         F.col("src").eqNullSafe(F.col("f")))
+    took = small.filter("words <= most").groupBy(F.col("src").alias("t")).agg(F.max("words").alias("took"))
+    return first.join(took, F.col("s").eqNullSafe(F.col("t")), "left").select(
+        "s", "large", "open", (F.col("open") - F.coalesce("took", F.lit(0))).alias("rest"))
 
 
 def take(docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id", text_col: str = "text",

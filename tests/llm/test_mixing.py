@@ -120,3 +120,38 @@ def test_filling_ends_only_when_nothing_fits(make_docs):
     share = 100.5 * 7 / 2 / (1000 + sum(sizes))  # "b" gets 100.5 words
     out = [r for r in mixing.mix(make_docs(rows), share=share).collect() if r.source == "b"]
     assert sorted(r.size for r in out if r.copies) == [1] * 8 and max(r.copies for r in out) == 1
+
+
+def first_fit(out):
+    """Copies by one scan per source in key order."""
+    left, copies = {}, []
+    for r in sorted(out, key=lambda r: (r.source or "", r.source is None, r.key)):
+        full = int(r.target // r.source_size) if r.source_size else 0
+        rest = left.setdefault(r.source, r.target - full * r.source_size)
+        left[r.source] -= r.size if r.size <= rest else 0
+        copies.append((r.doc_id, full + (r.size <= rest)))
+    return copies
+
+
+def test_filling_is_one_scan_in_key_order(make_docs, rng):
+    for most in (3, 40, 700):
+        rows = [(i, "w " * int(most ** rng.random()), rng.choice(["a", "b", "c", "d", None])) for i in range(500)]
+        out = mixing.mix(make_docs(rows)).collect()
+        assert sorted((r.doc_id, r.copies) for r in out) == sorted(first_fit(out))
+
+
+def test_thousands_of_blocked_documents_take_few_rounds(make_docs, monkeypatch):
+    from hashlib import md5
+
+    # each one-word document is followed by one that is a word too long for what is left
+    pairs = 1500
+    sizes = [n for j in range(pairs) for n in (1, pairs - j)]
+    order = sorted(range(2 * pairs), key=lambda i: md5(f"17:{i}".encode()).hexdigest()[:13], reverse=True)
+    rows = [(i, "w " * n, "b") for i, n in zip(order, sizes)] + [(9999, "w " * 4_000_000, "a")]
+    share = (pairs + 0.5) * 7 / 2 / (4_000_000 + sum(sizes))
+    written = []
+    monkeypatch.setattr(mixing, "save_scratch", lambda df, name, save=mixing.save_scratch: written.append(name) or save(df, name))
+    out = mixing.mix(make_docs(rows), share=share).collect()
+    assert sorted((r.doc_id, r.copies) for r in out) == sorted(first_fit(out))
+    assert sorted(r.size for r in out if r.source == "b" and r.copies) == [1] * pairs
+    assert written.count("mix-round") <= 2 + (pairs + 1).bit_length()
