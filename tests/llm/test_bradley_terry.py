@@ -89,3 +89,67 @@ def test_sample_is_bounded(spark, make_docs, labelled):
     finally:
         bt.fit = real
     assert seen == [50]
+
+
+def plain_features(text):
+    """The thirteen features, counted character by character and word by word."""
+    from collections import Counter
+    from unicodedata import category
+
+    words = (text or "").split()
+    if not words:
+        return [0.0] * 13
+    kind = lambda c: category(c) if ord(c) < 0x3000 else "Lo"
+    marks = [i for i, c in enumerate(text) if kind(c)[0] in "PS"]
+    ends = [i for i in marks if i + 1 == len(text) or text[i + 1] <= " "]
+    alone = [i for i in ends if i == 0 or text[i - 1] <= " "]
+    commonest = Counter(min(ord(text[i]), 0x2FF) for i in marks).most_common(1)
+    letters = [c for c in text if kind(c)[0] == "L"]
+    lines = [x for x in text.split("\n") if x]
+    n, k = len(text), len(words)
+    return [sum(kind(c) == "Lu" for c in letters) / max(1, len(letters)), len(letters) / n,
+            sum(kind(c)[0] == "N" for c in text) / n, len(marks) / n, len(ends) / k, len(alone) / k,
+            sum(a == b for a, b in zip(words, words[1:])) / k, len(set(words)) / k,
+            min(3.0, sum(map(len, words)) / k / 10), np.log1p(k) / 10, len(set(lines)) / max(1, len(lines)),
+            sum(len(w) > 25 for w in words) / k, commonest[0][1] / n if commonest else 0.0]
+
+
+def plain_scores(rows, good, cut=0.3, per_doc=8, l2=1e-3):
+    """Utilities by plain gradient steps on the same pairs, the decision point between the
+    rejected and the kept, and the scores."""
+    x = np.array(rows)
+    spread = x.std(axis=0)
+    z = (x - x.mean(axis=0)) / np.where(spread > 1e-9, spread, 1.0)
+    draw = np.random.default_rng(5)
+    upper, lower = [i for i, g in enumerate(good) if g], [i for i, g in enumerate(good) if not g]
+    rivals = draw.choice(upper, len(lower) * per_doc)
+    pairs = list(zip([u for u in upper for _ in range(per_doc)], draw.choice(lower, len(upper) * per_doc)))
+    pairs += list(zip(rivals, [v for v in lower for _ in range(per_doc)]))
+    d = np.array([z[a] - z[b] for a, b in pairs])
+    w, pace = np.zeros(z.shape[1]), 1 / (np.linalg.eigvalsh(d.T @ d / len(d))[-1] / 4 + l2)
+    ahead, last = w, w
+    for step in range(30_000):  # gradient steps with momentum
+        ahead = w + step / (step + 3) * (w - last)
+        odds = 1 / (1 + np.exp(np.clip(d @ ahead, -700, 700)))
+        last, w = w, ahead + pace * ((d * odds[:, None]).mean(axis=0) - l2 * ahead)
+    utility = z @ w
+    order = sorted(utility)
+    point = (order[len(lower) - 1] + order[len(lower)]) / 2
+    return [1 / (1 + (1 - cut) / cut * np.exp(-min(max(u - point, -600), 600))) for u in utility]
+
+
+def test_features_as_counted_one_by_one(odd_rows, labelled):
+    texts = [t for _, t, _ in odd_rows] + [t for _, t, _ in labelled[:60]]
+    texts += ["Ab, c. - !! ###\nAb, c. - !! ###\n\nx", "\u4e2d\u6587 \u3002x ?", " . ", "\u00c9t\u00e9 12 " + "z" * 30, "a\u00a0b!"]
+    for t in texts:
+        assert np.allclose(bt.features(t), plain_features(t), rtol=1e-12, atol=1e-12)
+
+
+def test_scores_as_by_plain_pairs(spark, make_docs, labelled):
+    rows = labelled[:120]
+    docs = make_docs([(i, t, "s") for i, t, _ in rows], extra=True)
+    ranking = bt.train(docs, spark.createDataFrame([(i, int(g)) for i, _, g in rows], "doc_id long, quality int"))
+    got = [r.p for r in docs.orderBy("doc_id").select(bt.score_column(ranking, F.col("text")).alias("p")).collect()]
+    want = plain_scores([plain_features(t) for _, t, _ in rows], [g for _, _, g in rows])
+    assert np.allclose(got, want, atol=1e-3)
+    assert [g >= 0.3 for g in got] == [w >= 0.3 for w in want]
