@@ -15,7 +15,8 @@ is scored from its whole text, in one pass without a shuffle.
 Defined cases: a null text is empty; an empty text has all features 0 and a
 score like any other; labels that are null count for nothing, several labels
 of one document are averaged (half and half: 1); with no labels of one of the two
-kinds there is nothing to prefer and every score is 0.5.  Labels, language,
+kinds there is nothing to prefer and every score is 0.5; repeated rows are learned once and scored
+alike; texts of any length are read whole; no documents give no scores.  Labels, language,
 source and id are no inputs of a score.
 """
 

@@ -15,7 +15,8 @@ and verified once.
 
 Defined cases: null and empty texts and items without a word match nothing; items with fewer than
 ``min_words`` words must occur exactly; repeated rows of documents or items give repeated pairs; of several
-stretches the closest counts, then the first.  Only the named columns are read.
+stretches the closest counts, then the first; texts of any length are searched whole, one
+at a time in their task's memory; empty documents or items give an empty result.  Only the named columns are read.
 """
 
 from __future__ import annotations

@@ -20,8 +20,8 @@ than ``block`` points is cut into blocks whose pairs go to different tasks.
 
 Defined cases: a null text counts as no words; repeated rows and equal texts
 share a point; null ids are kept and are never a component's id unless all ids
-of a component are null; an empty table gives an empty result.  Only the named columns are
-read.
+of a component are null; an empty table gives an empty result; texts of any length are
+read whole, one at a time in their task's memory.  Only the named columns are read.
 """
 
 from __future__ import annotations

@@ -16,7 +16,8 @@ execution splits.
 
 Defined cases: a null url, or one without ``://``, has empty host and path; no rule fits an
 empty host; the registered domain is the last two labels and the suffix the last
-(of an empty host: empty); with no labelled page every posterior stays at 0.5.  Only the
+(of an empty host: empty); with no labelled page every posterior stays at 0.5; repeated rows
+count each and get the same verdict each; a url of any length is read whole; an empty table gives an empty result.  Only the
 named columns are read.
 """
 
