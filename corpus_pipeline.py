@@ -1,6 +1,11 @@
 """The corpus pipeline: quality, near duplicates, decontamination, mixing, token
 ids.  Every stage takes (spark, docs, sf_dir) and works on all that the stage before
-kept; stages but the last return the columns of their input."""
+kept; stages but the last return the columns of their input.
+
+Defined cases: a null text is an empty one, and empty texts are equal fingerprints, so one of those that the
+ranking keeps stays at most; rows that repeat a document are near duplicates of it; rows without an id are
+told apart by their texts; texts of any length go through whole; ties are broken by id, then text; an empty
+table gives empty results in every stage; further columns of documents pass through all stages but the last."""
 
 from __future__ import annotations
 
