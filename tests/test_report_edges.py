@@ -255,3 +255,55 @@ def test_hot_customer_is_reduced_before_the_shuffle(spark):
         cur = con.execute(BODY[name])
         assert rows_hash(sdf.columns, [tuple(r) for r in sdf.collect()]) == \
             rows_hash([d[0] for d in cur.description], [tuple(r) for r in cur.fetchall()]), name
+
+
+def test_reports_whose_sql_aggregates_first_row_by_row(fixture):
+    """HQ-03, HQ-14 and HQ-16: sums over every joined row, without aggregating before the join."""
+    from fractions import Fraction
+    from math import floor
+
+    def half_up(x, digits=0):
+        return float(Fraction(floor(x * 10 ** digits + Fraction(1, 2)), 10 ** digits))
+
+    def rows_of(name, columns):
+        return fixture[1].execute(f"SELECT {columns} FROM ({BODY[name]}) q").fetchall()
+
+    stressed = ("Default", "NPA", "Written-Off")
+    joined = [(loan, c) for loan in LOANS for c in CUSTOMERS if loan[1] == c[0]]
+    known = lambda values: [v for v in values if v is not None]
+    total = lambda values: (lambda v: sum(v) if v else None)(known(values))
+
+    want = set()
+    for group in {(c[4], c[3]) for _, c in joined}:
+        rows = [(loan, c) for loan, c in joined if (c[4], c[3]) == group]
+        scores = known(c[6] for _, c in rows)
+        bad = sum(loan[6] in stressed for loan, _ in rows)
+        want.add((*group, len(rows), total(loan[3] for loan, _ in rows),
+                  half_up(Fraction(sum(scores), len(scores))) if scores else None, bad,
+                  half_up(Fraction(100 * bad, len(rows)), 2)))
+    assert set(rows_of("segment_concentration", "segment, employment_type, loan_count, total_exposure, avg_credit_score, "
+                       "stressed_accounts, stress_rate_pct")) == want
+
+    per = {}
+    for key in {c[0] for _, c in joined}:
+        rows = [(loan, c) for loan, c in joined if c[0] == key]
+        scores = known(c[6] for _, c in rows)
+        per[key] = (total(loan[3] for loan, _ in rows), sum(scores) / len(scores) if scores else None,
+                    sum(loan[6] in stressed for loan, _ in rows))
+    order = lambda v: -1 if v is None else v
+    want = {(key, amount, points, bad, 1 + sum(order(o[0]) > order(amount) for o in per.values()),
+             1 + sum(order(o[1]) < order(points) for o in per.values())) for key, (amount, points, bad) in per.items()}
+    assert set(rows_of("customer_risk_ranking_all", "customer_id, total_exposure, credit_score, default_count, "
+                       "exposure_rank, risk_rank")) == want
+
+    amount = sum(known(loan[3] for loan in LOANS))
+    npa = sum(known(loan[3] for loan in LOANS if loan[6] == "NPA"))
+    scores = known(c[6] for c in CUSTOMERS)
+    want = {"INR": [amount], "Percentage": [half_up(Fraction(100 * npa, amount), 2)],
+            "Score": [half_up(Fraction(sum(scores), len(scores)))],
+            "Count": sorted([sum(loan[6] == "Active" for loan in LOANS), sum(known(t[8] for t in TXNS)),
+                             sum(loan[6] == "Active" and (loan[10] or 0) > 90 for loan in LOANS)])}
+    got = {}
+    for unit, value in rows_of("kri_master", "unit, kri_value"):
+        got.setdefault(unit, []).append(float(value))
+    assert {unit: sorted(v) for unit, v in got.items()} == want
