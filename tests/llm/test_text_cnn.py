@@ -132,3 +132,78 @@ def test_odd_documents(spark, make_docs, odd_rows, rng):
         assert {r.s for r in docs.select(text_cnn.score_column(none, F.col("text")).alias("s")).collect()} == {0.0}
     empty = docs.limit(0)
     assert empty.select(text_cnn.score_column(text_cnn.train(empty, labels), F.col("text")).alias("s")).collect() == []
+
+
+def test_packed_words_are_read_alike(rng):
+    h = text_cnn.word_hashes("der Hund und die Katze of " + prose(rng, 200))
+    back = text_cnn.unpack(text_cnn.pack(h))
+    assert all((a == b).all() for a, b in zip(text_cnn._rows(back), text_cnn._rows(h)))
+    assert ((back & 7) == (h & 7)).all() and not len(text_cnn.unpack(text_cnn.pack(h[:0])))
+
+
+@pytest.mark.parametrize("piece", [None, 7])
+def test_best_windows_give_what_pooling_gives(rng, monkeypatch, piece):
+    if piece:
+        monkeypatch.setattr(text_cnn, "PIECE", piece)
+    net = text_cnn.Network.new(1)
+    docs = [text_cnn.word_hashes(t) for t in ("one", "one two", prose(rng, 50), prose(rng, 8), "x " * 30)]
+    top, first, second = text_cnn.best_windows(net, docs)
+    assert np.allclose(top, net.pooled(docs), atol=1e-5)
+    x = net.tables[0][first] + net.tables[1][second]
+    for c, (kind, col) in enumerate(zip(*text_cnn._windows())):
+        w = text_cnn.WINDOWS[kind]
+        assert np.allclose((x[:, c, :w] * net.filters[kind][:, :, col]).sum(axis=(1, 2)), top[:, c], atol=1e-4)
+
+
+def test_decision_points_of_a_table(spark, rng):
+    rows = [(rng.randint(0, 4), float(rng.choice([0, 1, 1.5, 3, 4, 7])), rng.random() < 0.4) for _ in range(300)] + [(4, 9.0, False)] * 3
+    rows = [r for r in rows if r[0] != 2] + [(2, 0.5, True)]
+    y = np.array([r[2] for r in rows])
+    for weight, least in ((1.0, 5), (4.0, 5), (0.1, 1), (50.0, 5)):
+        got = text_cnn.decision_points(spark.createDataFrame(rows, "lang int, logit double, toxic boolean"), weight, least)
+        x = np.array([r[1] for r in rows])
+        lang = np.array([r[0] for r in rows])
+        common = text_cnn.decision_point(x, y, weight)
+        for code in range(5):
+            mine = lang == code
+            enough = min(y[mine].sum(), (~y[mine]).sum()) >= least
+            assert got[code] == (text_cnn.decision_point(x[mine], y[mine], weight) if enough else common)
+
+
+def test_every_labelled_document_and_every_word_is_learned(spark, rng, monkeypatch):
+    """Beyond 10,000 documents and 4,000 words, over several slices; the words of a document seen once, far in its text, change."""
+    rows = [(i, "vile" if i % 3 == 0 else "calm", i % 3 == 0) for i in range(10_600)]
+    rows += [(20_000 + i, "calm " * 6_000 + f"marker{i}", True) for i in range(3)]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(y)) for i, _, y in rows], "doc_id long, toxic int")
+    learned = []
+    fit = text_cnn.fit
+    monkeypatch.setattr(text_cnn, "fit", lambda known, *a, **k: learned.append(
+        [len(text_cnn.unpack(r.h)) for r in known.select("h").collect()]) or fit(known, *a, **k))
+    calibrated = []
+    calibrate = text_cnn.calibrate
+    monkeypatch.setattr(text_cnn, "calibrate", lambda net, known, *a: calibrated.append(
+        [len(text_cnn.unpack(r.h)) for r in known.select("h").collect()]) or calibrate(net, known, *a))
+    c = text_cnn.train(docs, labels, slice_docs=2_000)
+    sizes = learned[0] + calibrated[0]
+    assert len(sizes) == len(rows) and sorted(sizes)[-3:] == [6001] * 3
+    new = text_cnn.Network.new(13)
+    changed = (c.net.tables[0] != new.tables[0]).any(axis=1)
+    far = [int(text_cnn._rows(text_cnn.word_hashes(f"marker{i}"))[0][0]) for i in range(3)]
+    assert sum(changed[r] for r in far) >= 1
+    s = c.score([text_cnn.word_hashes("calm"), text_cnn.word_hashes("vile")])
+    assert s[0] < 0.3 <= s[1]
+
+
+def test_slices_are_averaged(spark):
+    """What two equal slices change is what one of them changes; rows of one slice alone change whole."""
+    net, step = text_cnn.Network.new(3), text_cnn._Step(0.2)
+    docs = [text_cnn.word_hashes(t) for t in ("vile words here", "calm words there")] * 4
+    toxic = np.array([True, False] * 4)
+    one, seen = text_cnn.copy.deepcopy((net, step))
+    text_cnn.steps(one, seen, docs, toxic, 1.0, np.random.default_rng(0))
+    rows = [u for s in range(3) for u in text_cnn._changes(one, seen, (net, step), s)]
+    pdf = text_cnn.pd.DataFrame(rows, columns=["block", "slice", "at", "slices", "change"])
+    for block, part in pdf.groupby("block"):
+        at, n, change = text_cnn._read_update(next(text_cnn._add(part).itertuples()))
+        assert (n == 3).all() and np.allclose(change / 3, text_cnn._read_update(next(part.itertuples()))[2], atol=1e-6)
