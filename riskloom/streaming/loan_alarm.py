@@ -11,7 +11,7 @@ one row, there only between a withdrawal and the next payment; the timer stands
 due.  A transaction that comes after its slot was closed is left out.  Restarted from its checkpoint, the query goes on with
 the watches that were open.
 
-As a batch (``unpaid_withdrawals``), slots between two payments are one group; alarms that
+As a batch (``unpaid_withdrawals``), a loan's slots are gone through in one order, with running sums; alarms that
 are not yet due by the latest time less ``delay`` are not told, as in the stream.
 
 Null loans are one loan; transactions without a time count nowhere; an amount that is null adds nothing.
@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from riskloom import constants as K
+from riskloom.session import shuffle_partitions
 
 SLOT = timedelta(hours=1)
 ALARM = "loan_id string, since timestamp, due timestamp, withdrawals long, total_amount double"
@@ -40,30 +41,42 @@ def _moves(txns: DataFrame) -> DataFrame:
     ).toDF("loan_id", "txn_time", "pays", "amount")
 
 
-def _slots(moves: DataFrame) -> DataFrame:
-    """One row per loan and slot: payments, withdrawals and their amount."""
+def _sums(moves: DataFrame, *keys) -> DataFrame:
+    """Payments, withdrawals and their amount."""
     drawn = F.when(~F.col("pays"), F.col("amount").cast(MONEY))
-    return moves.groupBy("loan_id", F.window("txn_time", "1 hour").alias("w")).agg(
+    return moves.groupBy(*keys).agg(
         F.count_if("pays").alias("payments"), F.count_if(~F.col("pays")).alias("drawn"), F.coalesce(F.sum(drawn), F.lit(0).cast(MONEY)).alias("amount"))
 
 
-def unpaid_withdrawals(txns: DataFrame, days: int = K.ALARM_DAYS, delay_days: int = K.ALARM_DELAY_DAYS) -> DataFrame:
-    """Every alarm of the table: loan_id, since (the slot of the first withdrawal), due, withdrawals, total_amount."""
+def unpaid_withdrawals(txns: DataFrame, days: int = K.ALARM_DAYS, delay_days: int = K.ALARM_DELAY_DAYS,
+                       task_rows: int = 1 << 20) -> DataFrame:
+    """Every alarm of the table: loan_id, since (the slot of the first withdrawal), due, withdrawals, total_amount.
+    Tasks have about ``task_rows`` transactions."""
     moves = _moves(txns)
     # the stream's watermark: the latest time in whole milliseconds, less the delay
-    latest = moves.agg(F.date_trunc("millisecond", F.max("txn_time")).alias("latest")).scalar()
-    slots = _slots(moves).select("loan_id", F.col("w.start").alias("at"), F.col("payments") > 0, "drawn", "amount").toDF(
-        "loan_id", "at", "paid", "drawn", "amount")
-    before = Window.partitionBy("loan_id").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
-    numbered = slots.withColumn("run", F.coalesce(F.count_if("paid").over(before), F.lit(0)))
-    first = F.min(F.when(~F.col("paid"), F.col("at"))).over(Window.partitionBy("loan_id", "run"))
-    within = ~F.col("paid") & (F.col("at") <= F.col("due"))
-    runs = numbered.withColumn("since", first).withColumn("due", F.col("since") + F.expr(f"INTERVAL {days} DAY")).groupBy("loan_id", "run").agg(
-        F.first("since").alias("since"), F.first("due").alias("due"), F.max(F.when(F.col("paid"), F.col("at"))).alias("paid_at"),
-        F.sum(F.when(within, F.col("drawn"))).alias("withdrawals"), F.sum(F.when(within, F.col("amount"))).cast("double").alias("total_amount"))
+    known = moves.agg(F.unix_micros(F.date_trunc("millisecond", F.max("txn_time"))).alias("latest"), F.count(F.lit(1)).alias("n")).first()
+    parts, latest = max(shuffle_partitions(txns.sparkSession), -(-known.n // task_rows)), F.timestamp_micros(F.lit(known.latest).cast("long"))
+    # narrow rows: a slot is the second at which it begins
+    begins = F.unix_seconds(F.window("txn_time", "1 hour").start).alias("at")
+    slots = _sums(moves.select("loan_id", begins, "pays", "amount"), "loan_id", "at").select(
+        "loan_id", F.timestamp_seconds("at").alias("at"), F.col("payments") > 0, "drawn", "amount").toDF("loan_id", "at", "paid", "drawn", "amount")
+    in_time = Window.partitionBy("loan_id").orderBy("at")
+    upto = in_time.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # one order serves both steps: sums from the loan's first slot on, then what they were when the watch opened
+    told = slots.repartition(parts, "loan_id").select(
+        "loan_id", "at", "paid", (~F.col("paid") & F.coalesce(F.lag("paid").over(in_time), F.lit(True))).alias("opens"), "drawn", "amount",
+        F.sum(F.when(~F.col("paid"), F.col("drawn"))).over(upto).alias("all_drawn"),
+        F.sum(F.when(~F.col("paid"), F.col("amount"))).over(upto).alias("all_amount"),
+        F.lead("at").over(in_time).alias("next_at"), F.lead("paid").over(in_time).alias("next_paid"))
+    opened = F.struct("at", (F.col("all_drawn") - F.col("drawn")).alias("drawn"), (F.col("all_amount") - F.col("amount")).alias("amount"))
+    watched = told.withColumn("watch", F.last(F.when(F.col("opens"), opened), ignorenulls=True).over(upto)).select(
+        "*", F.col("watch.at").alias("since")).withColumn("due", F.col("since") + F.expr(f"INTERVAL {days} DAY"))
+    # the last slot in time, with no payment in time after it
+    last = ~F.col("paid") & (F.col("at") <= F.col("due")) & (F.col("next_at").isNull() | (F.col("next_at") > F.col("due")))
     closed = F.col("due") + F.expr("INTERVAL 1 HOUR") <= latest - F.expr(f"INTERVAL {delay_days} DAY")
-    late = F.col("since").isNotNull() & (F.col("paid_at").isNull() | (F.col("paid_at") > F.col("due")))
-    return runs.where(late & closed).select("loan_id", "since", "due", "withdrawals", "total_amount")
+    return watched.where(last & closed).select(
+        "loan_id", "since", "due", (F.col("all_drawn") - F.col("watch.drawn")).alias("withdrawals"),
+        (F.col("all_amount") - F.col("watch.amount")).cast("double").alias("total_amount"))
 
 
 class Watch(StatefulProcessor):
@@ -127,6 +140,6 @@ class Watch(StatefulProcessor):
 def unpaid_withdrawals_running(txns: DataFrame, days: int = K.ALARM_DAYS, delay_days: int = K.ALARM_DELAY_DAYS) -> DataFrame:
     """``unpaid_withdrawals`` of a stream: an alarm comes out once, when the watermark has passed the slot in
     which the payment was due.  Needs the RocksDB state store (``aml_monitor.run_to_table`` sets it)."""
-    slots = _slots(_moves(txns).withWatermark("txn_time", f"{delay_days} days"))
+    slots = _sums(_moves(txns).withWatermark("txn_time", f"{delay_days} days"), "loan_id", F.window("txn_time", "1 hour").alias("w"))
     rows = slots.select("loan_id", "w", F.unix_seconds("w.start").alias("at"), "payments", "drawn", "amount")
     return rows.groupBy("loan_id").transformWithState(Watch(days), ALARM, "append", "eventTime")

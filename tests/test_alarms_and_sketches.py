@@ -68,6 +68,17 @@ def test_batch_against_walking(spark, days, delay):
     assert waits <= {days * 86400}
 
 
+def test_batch_tasks_follow_the_rows_and_sort_once(spark):
+    rows = moves()
+    df = loan_alarm.unpaid_withdrawals(frame(spark, rows), 10, 0, task_rows=10)
+    plan = df._jdf.queryExecution().sparkPlan().toString()
+    n = sum(r[2] is not None and r[1] != "NEFT" for r in rows)
+    assert f", {-(-n // 10)}), REPARTITION_BY_NUM" in plan
+    final = df._jdf.queryExecution().executedPlan().toString()
+    assert final.count("Sort [") == 1 and final.count("HashAggregate(") == 2  # the slots' sums alone
+    assert told(df)[0] == walk(rows, 10, 0)
+
+
 def test_empty_and_paid(spark):
     assert loan_alarm.unpaid_withdrawals(frame(spark, [])).collect() == []
     rows = [("A", "Cash_Withdrawal", 0, 1.0), ("A", "EMI_Payment", 59, 1.0), ("B", "EMI_Payment", 1, 1.0), ("C", "NEFT", 999_999, 1.0)]
