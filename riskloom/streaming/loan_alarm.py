@@ -1,4 +1,4 @@
-"""Alarm for loans that draw cash and then do not pay, with state and timers per loan.
+"""Alarm for loans that draw cash and then do not pay, with state and timers.
 
 A loan's watch opens with a cash withdrawal and closes with its next EMI payment.  A watch that is ``days`` days old
 without a payment raises one alarm, which tells what was withdrawn meanwhile; nothing more is said about
@@ -6,8 +6,9 @@ the loan until it has paid.  Time is counted in slots of an hour: a payment sett
 
 As a stream (``unpaid_withdrawals_running``), transactions are first added up per loan and slot.  Such a row comes
 when the watermark has passed its slot, so a loan's rows come in time order whatever the order in which
-transactions arrive, and a loan with a third of all transactions has one row per slot.  The state of a loan is
-one row, there only between a withdrawal and the next payment; the timer stands at the slot in which the payment is
+transactions arrive, and a loan with a third of all transactions has one row per slot.  A loan has a
+watch in the state only between a withdrawal and the next payment.  Loans are dealt out to buckets by their hash: a bucket's
+watches are one state, and its timer stands at the first slot in which one of their payments is
 due.  A transaction that comes after its slot was closed is left out.  Restarted from its checkpoint, the query goes on with
 the watches that were open.
 
@@ -80,7 +81,8 @@ def unpaid_withdrawals(txns: DataFrame, days: int = K.ALARM_DAYS, delay_days: in
 
 
 class Watch(StatefulProcessor):
-    """The watch of one loan: (since, told, withdrawals, amount), times as UTC seconds."""
+    """The watches of a bucket of loans: (loan, since, told, withdrawals, amount), times as UTC seconds.  Calls to the
+    state store cost far more than rows, so a bucket has one state and one timer, at the first of its loans' dues."""
 
     def __init__(self, days: int) -> None:
         self.wait = int(timedelta(days=days).total_seconds())
@@ -88,58 +90,81 @@ class Watch(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.watch = handle.getValueState("watch", f"since long, told boolean, withdrawals long, amount {MONEY}")
+        self.watches = handle.getValueState(
+            "watches", f"watches array<struct<loan_id string, since long, told boolean, withdrawals long, amount {MONEY}>>")
 
-    def _alarm(self, key: tuple, since: int, withdrawals: int, amount) -> Row:
+    def _alarm(self, loan: str | None, since: int, withdrawals: int, amount) -> Row:
         at = lambda s: datetime.fromtimestamp(s, timezone.utc)
-        return Row(loan_id=key[0], since=at(since), due=at(since + self.wait), withdrawals=withdrawals, total_amount=float(amount))
+        return Row(loan_id=loan, since=at(since), due=at(since + self.wait), withdrawals=withdrawals, total_amount=float(amount))
 
     def _closes(self, since: int) -> int:
         """The millisecond from which on no payment in time can come any more."""
         return (since + self.wait + self.slot) * 1000
 
+    def _held(self) -> dict:
+        held = self.watches.get()
+        return {w[0]: tuple(w)[1:] for w in held[0]} if held else {}
+
+    def _timer(self, watches: dict) -> int | None:
+        """When the first watch that has not told closes."""
+        return min((self._closes(w[0]) for w in watches.values() if not w[1]), default=None)
+
+    def _tell(self, watches: dict, watermark: int) -> Iterator[Row]:
+        """Alarms of the watches that have closed."""
+        for loan, (since, told, withdrawals, amount) in list(watches.items()):
+            if not told and self._closes(since) <= watermark:
+                yield self._alarm(loan, since, withdrawals, amount)
+                watches[loan] = (since, True, withdrawals, amount)
+
+    def _keep(self, held: dict, watches: dict) -> None:
+        if watches and watches != held:
+            self.watches.update(([(loan, *w) for loan, w in watches.items()],))
+        elif held and not watches:
+            self.watches.clear()
+
     def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        held = self.watch.get() if self.watch.exists() else None
-        was = held[0] if held and not held[1] else None  # a timer stands for a watch that has not told
-        now = tuple(held) if held else None
+        held = self._held()
+        watches = dict(held)
         for r in sorted(rows, key=lambda r: r["at"]):
-            if now and not now[1] and r["at"] > now[0] + self.wait:
-                yield self._alarm(key, now[0], now[2], now[3])
-                now = (now[0], True, now[2], now[3])
+            loan, at = r["loan_id"], r["at"]
+            now = watches.get(loan)
+            if now and not now[1] and at > now[0] + self.wait:
+                yield self._alarm(loan, now[0], now[2], now[3])
+                now = watches[loan] = (now[0], True, now[2], now[3])
             if r["payments"]:
-                now = None
+                watches.pop(loan, None)
             elif now is None:
-                now = (r["at"], False, r["drawn"], r["amount"])
+                watches[loan] = (at, False, r["drawn"], r["amount"])
             elif not now[1]:
-                now = (now[0], False, now[2] + r["drawn"], now[3] + r["amount"])
-        if now and not now[1] and self._closes(now[0]) <= timerValues.getCurrentWatermarkInMs():
-            yield self._alarm(key, now[0], now[2], now[3])
-            now = (now[0], True, now[2], now[3])
-        waits = now[0] if now and not now[1] else None
+                watches[loan] = (now[0], False, now[2] + r["drawn"], now[3] + r["amount"])
+        yield from self._tell(watches, timerValues.getCurrentWatermarkInMs())
+        was, waits = self._timer(held), self._timer(watches)
         if was != waits:
             if was is not None:
-                self.handle.deleteTimer(self._closes(was))
+                self.handle.deleteTimer(was)
             if waits is not None:
-                self.handle.registerTimer(self._closes(waits))
-        if now:
-            self.watch.update(now)
-        elif held:
-            self.watch.clear()
+                self.handle.registerTimer(waits)
+        self._keep(held, watches)
 
     def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        if self.watch.exists():
-            since, told, withdrawals, amount = self.watch.get()
-            if not told and self._closes(since) <= expiredTimerInfo.getExpiryTimeInMs():
-                self.watch.update((since, True, withdrawals, amount))
-                yield self._alarm(key, since, withdrawals, amount)
+        held = self._held()
+        watches = dict(held)
+        yield from self._tell(watches, max(timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs()))
+        waits = self._timer(watches)
+        if waits is not None:
+            self.handle.registerTimer(waits)
+        self._keep(held, watches)
 
     def close(self) -> None:
         pass
 
 
-def unpaid_withdrawals_running(txns: DataFrame, days: int = K.ALARM_DAYS, delay_days: int = K.ALARM_DELAY_DAYS) -> DataFrame:
+def unpaid_withdrawals_running(txns: DataFrame, days: int = K.ALARM_DAYS, delay_days: int = K.ALARM_DELAY_DAYS,
+                               buckets: int = 1 << 16) -> DataFrame:
     """``unpaid_withdrawals`` of a stream: an alarm comes out once, when the watermark has passed the slot in
-    which the payment was due.  Needs the RocksDB state store (``aml_monitor.run_to_table`` sets it)."""
+    which the payment was due.  Loans share states by ``buckets`` of their hash; a checkpoint goes on with the number it was begun with.
+    Needs the RocksDB state store (``aml_monitor.run_to_table`` sets it)."""
     slots = _sums(_moves(txns).withWatermark("txn_time", f"{delay_days} days"), "loan_id", F.window("txn_time", "1 hour").alias("w"))
-    rows = slots.select("loan_id", "w", F.unix_seconds("w.start").alias("at"), "payments", "drawn", "amount")
-    return rows.groupBy("loan_id").transformWithState(Watch(days), ALARM, "append", "eventTime")
+    rows = slots.select(F.pmod(F.xxhash64("loan_id"), F.lit(buckets)).alias("bucket"), "loan_id", F.window_time("w").alias("ends"),
+                        F.unix_seconds("w.start").alias("at"), "payments", "drawn", "amount")
+    return rows.groupBy("bucket").transformWithState(Watch(days), ALARM, "append", "eventTime")

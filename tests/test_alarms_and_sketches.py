@@ -122,6 +122,47 @@ def test_a_timer_alone_raises_the_alarm_and_late_rows_do_not_count(spark, tmp_pa
     assert _run(spark, tmp_path, 10, 1) == [("A", 0, 1, 5.0)]  # late, and told once
 
 
+@pytest.mark.parametrize("buckets", [1, 7])
+def test_loans_that_share_a_state(spark, tmp_path, buckets):
+    """The alarms of the batch, over restarts, with many loans in a state and one timer for them."""
+    rows, days, delay = moves(400, 8), 20, 5
+    rows.sort(key=lambda r: r[2] if r[2] is not None else 0)
+    for i in range(0, len(rows), 160):
+        _land(spark, rows[i:i + 160], str(tmp_path / "land"))
+        running = loan_alarm.unpaid_withdrawals_running(spark.readStream.schema(SCHEMA).parquet(str(tmp_path / "land")), days, delay, buckets)
+        got = aml_monitor.run_to_table(running, "alarm", str(tmp_path / "out"), str(tmp_path / "ckpt"))
+        assert told(got)[0] == walk(rows[:i + 160], days, delay)
+
+
+def test_a_state_serves_many_loans(spark):
+    """State calls of a bucket: one to read, one to write, one timer, whatever its number of loans."""
+    calls = []
+
+    class Store:
+        def get(self):
+            calls.append("get")
+
+        def update(self, value):
+            calls.append(len(value[0]))
+
+    class Handle:
+        def getValueState(self, *_):
+            return Store()
+
+        def registerTimer(self, at):
+            calls.append(("timer", at))
+
+    class Times:
+        def getCurrentWatermarkInMs(self):
+            return 0
+
+    watch = loan_alarm.Watch(1)
+    watch.init(Handle())
+    rows = [dict(loan_id=f"L{i}", at=3600 * (i + 1), payments=0, drawn=1, amount=1) for i in range(100)]
+    told_now = list(watch.handleInputRows((0,), iter(rows), Times()))
+    assert told_now == [] and calls == ["get", ("timer", (3600 + 86400 + 3600) * 1000), 100]
+
+
 def test_sketches_merge_to_what_the_whole_gives(spark, tmp_path):
     loans = load_domain(spark, SF01).loans.cache()
     kept = ps.keep(loans, str(tmp_path / "kept"))
